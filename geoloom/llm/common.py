@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's modules to the Python workers, once a context, so that no path of theirs needs to hold it."""
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    name = f"{package.name}_modules.zip"
+    if name not in sc._python_includes:
+        with zipfile.ZipFile(path := f"{tempfile.mkdtemp()}/{name}", "w") as z:  # the driver serves it to the executors
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(path)
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32(doc_id as text) mod 4 is 2; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2

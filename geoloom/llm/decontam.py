@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from geoloom.llm.common import table, words
+from geoloom.llm.common import ship, table, words
 
 WINDOW = 13
 #: Of the original text: words are the same before and after lower-casing A-Z.
@@ -227,7 +228,8 @@ def decontaminate(
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    schema = docs.select(*kept).schema.add(out, FOUND)
+    schema = docs.select(*kept).schema.add(out, T.DataType.fromDDL(FOUND))
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import held_out, table
+from geoloom.llm.common import held_out, ship, table
 
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -198,6 +198,7 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", pred: str
     """
     kept = [c for c in docs.columns if c.lower() not in (pred.lower(), score.lower())]
     schema = docs.select(*kept).schema.add(pred, "string").add(score, "double")
+    ship(docs.sparkSession)
     share = docs.sparkSession.sparkContext.broadcast(net)  # some 10,000 numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import table
+from geoloom.llm.common import ship, table
 
 SPACE = "▁"
 
@@ -114,6 +114,7 @@ def count_tokens(docs: DataFrame, model: str, text: str = "text", out: str = "n_
     rows plus the bounded memory of stretches. No shuffle.
     """
     ranks = load_pieces(model)
+    ship(docs.sparkSession)
     share = docs.sparkSession.sparkContext.broadcast(ranks)  # as many entries as the vocabulary file
 
     kept = [c for c in docs.columns if c.lower() != out.lower()]

@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from geoloom.llm.common import held_out, table
+from geoloom.llm.common import held_out, ship, table
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -152,7 +153,8 @@ def score(docs: DataFrame, model: BagModel, text: str = "text", out: str = "scor
     empty, columns already named as the new ones are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in (out.lower(), spans.lower())]
-    schema = docs.select(*kept).schema.add(out, "double").add(spans, SPANS)
+    schema = docs.select(*kept).schema.add(out, "double").add(spans, T.DataType.fromDDL(SPANS))
+    ship(docs.sparkSession)
     share = docs.sparkSession.sparkContext.broadcast(model)  # words of a bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
