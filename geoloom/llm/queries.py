@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geoloom.llm.decontam import OP6_SQL, op6_decontamination
 from geoloom.llm.language import op9_language_id
+from geoloom.llm.neardup import op8_near_duplicates
 from geoloom.llm.tokens import op2_token_counts
 from geoloom.llm.toxicity import op3_toxicity
 
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_language_id": op9_language_id,
 }
 
