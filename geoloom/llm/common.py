@@ -32,17 +32,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a checkpoint in the folder that the cluster shares.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of this context in the folder that the cluster shares.
 
-    The folder is the session's spark.checkpoint.dir. Only where that is unset
-    (tests in one process) a temporary folder is taken.
+    That is the session's spark.checkpoint.dir. Only where it is unset (tests in
+    one process) a temporary folder is taken.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="geoloom-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="geoloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
