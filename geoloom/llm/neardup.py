@@ -15,7 +15,6 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,8 @@ LEAST = 0.8
 BANDS, ROWS = 32, 5
 #: Registers that agree estimate the similarity with a standard error of 0.032 at 0.8; five of them below 0.8 lie here.
 ESTIMATE = 0.64
-BLOCK = 512
+#: Rows and shingles in a block, about.
+BLOCK, MOST = 512, 400_000
 
 
 class WordHash(dict):
@@ -165,55 +165,129 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs in a band of different labels, with sizes and an estimate that allow the similarity.
+def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """The stretches of rows that agree in the `by` columns, over batch ends too."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in by]
+        edges = [0, *(np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1).tolist(), len(batch)]
+        if held and any(held[0].column(c)[0].as_py() != batch.column(c)[0].as_py() for c in by):
+            yield pa.Table.from_batches(held)
+            held = []
+        for begin, end in zip(edges, edges[1:], strict=False):
+            held.append(batch.slice(begin, end - begin))
+            if end < len(batch):
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
 
-    A band's members are dealt into blocks of about BLOCK, and each task compares
-    two blocks; only pairs that pass leave it.
-    """
-    sizes = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "band").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sketch")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("key", ignore_index=True)
-        marks = np.stack([np.frombuffer(s, np.uint8) for s in group["sketch"]])
-        n, own = group["n"].to_numpy(), group["own"].to_numpy()
-        label = pd.factorize(group["label"])[0]
-        across = group["i"].iloc[0] != group["j"].iloc[0]
-        a, b = [], []
-        for k in range(len(group) - 1):
-            rest = slice(k + 1, None)
-            fits = (label[rest] != label[k]) & (np.minimum(n[rest], n[k]) >= LEAST * np.maximum(n[rest], n[k]))
-            if across:
-                fits &= own[rest] != own[k]
-            where = np.flatnonzero(fits) + k + 1
-            if len(where):
-                same = (marks[where] == marks[k]).mean(axis=1)
-                where = where[(same - 1 / 256) / (255 / 256) >= ESTIMATE]
-                a += [k] * len(where)
-                b += where.tolist()
-        keys = group["key"].to_numpy()
-        return pd.DataFrame({"a": keys[a], "b": keys[b]}, dtype=object)
-
-    return dealt.groupBy("band", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+
+class Forest:
+    """Union-find over 0..n-1; the root is the least."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = sorted((self.root(x), self.root(y)))
+        self.up[y] = x
+
+
+def _stars(keys: list[bytes], forest: Forest) -> pa.RecordBatch:
+    """(a, b): each member but the root with its root, so that links leave a task in linear number."""
+    ends = [(keys[r], keys[k]) for k in range(len(keys)) if (r := forest.root(k)) != k]
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in ends], pa.binary()), pa.array([y for _, y in ends], pa.binary())], ["a", "b"])
+
+
+def _dealt(members: DataFrame, by: str) -> DataFrame:
+    """Members of each group `by` in blocks of about BLOCK rows and MOST shingles; every two blocks (i, j) meet in one task."""
+    sizes = members.groupBy(by).agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / MOST)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, by).withColumn("own", F.pmod(F.xxhash64("key"), F.greatest("blocks", F.lit(1))).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("own", "other", "blocks")
+    return dealt.repartition(by, "i", "j").sortWithinPartitions(by, "i", "j", "key")
+
+
+def _alike(members: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between members of a band that may be similar but have different labels, by estimate and size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, ["band", "i", "j"]):
+            keys = group.column("key").to_pylist()
+            label = np.unique(group.column("label").to_numpy(), return_inverse=True)[1]
+            if len(keys) < 2 or label.max() == 0:
+                continue
+            n = group.column("n").to_numpy()
+            marks = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(keys), -1)
+            forest = Forest(len(keys))
+            for k in range(len(keys) - 1):
+                rest = slice(k + 1, None)
+                fits = (label[rest] != label[k]) & (np.minimum(n[rest], n[k]) >= least * np.maximum(n[rest], n[k]))
+                where = np.flatnonzero(fits) + k + 1
+                if len(where):
+                    same = (marks[where] == marks[k]).mean(axis=1)
+                    for other in where[(same - 1 / 256) / (255 / 256) >= ESTIMATE]:
+                        forest.join(k, int(other))
+            yield _stars(keys, forest)
+
+    return _dealt(members, "band").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _linked(members: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that hold together what is truly similar within each cluster: every pair is met, by exact similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_word = WordHash()
+        for group in _runs(batches, ["cluster", "i", "j"]):
+            keys = group.column("key").to_pylist()
+            if len(keys) < 2:
+                continue
+            sets = [shingles(t.as_py(), of_word)[0] for t in group.column("text")]
+            n = np.array([len(s) for s in sets])
+            owner = np.repeat(np.arange(len(sets)), n)
+            number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            order = np.argsort(number, kind="stable")
+            holders, often = owner[order], np.bincount(number)
+            first = np.concatenate([[0], np.cumsum(often)])
+            ends = np.concatenate([[0], np.cumsum(n)])
+            forest = Forest(len(keys))
+            for k in range(len(keys)):  # the holders of each of its shingles, counted by holder
+                own = number[ends[k] : ends[k + 1]]
+                lengths = often[own]
+                at = np.repeat(first[own] + lengths - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
+                both = np.bincount(holders[at], minlength=len(keys))
+                for other in np.flatnonzero(both >= least * (n + n[k] - both)):
+                    if other > k:
+                        forest.join(k, int(other))
+            yield _stars(keys, forest)
+
+    return _dealt(members, "cluster").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
-    """(id, key, class_id, class_size): one row for each row of docs.
+    """(id, key, class_id, class_size, class_key): one row for each row of docs.
 
     Classes are the connected components of the links: equal texts, and texts
     whose sets of five-word shingles have a Jaccard similarity of at least
     `least`. class_id is the least id of the class, class_size its number of
-    rows, key the text's md5.
+    rows, key the text's md5, class_key the least key of the class.
 
     First each distinct text is a node. In each band the node with the least
     key leads and the others are verified against it. Bands that still hold
-    several components are then compared across them, all pairs in blocks, and
-    what may be similar is verified too, so that no link is lost to the choice
-    of leaders. Hot bands, keys and components are met by grouped minima, joins
-    that can be split, and blocks; nothing is collected.
+    several components are then compared across them in blocks by estimate.
+    What may be similar forms clusters, whose pairs are all met in blocks by
+    exact similarity, so that no link is lost to the choice of leaders. Tasks
+    give out a spanning star of what they link, not the pairs. Hot bands, keys
+    and components are met by grouped minima, joins that can be split, and
+    blocks; nothing is collected.
 
     Null texts are each a class of their own (class_id is their id). Texts
     without a word link only to equal texts. Texts of fewer than five words are
@@ -229,25 +303,24 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
         .agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("x"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
         .select("key", "id", F.col("x.id").alias("at"), "copies", "x.n", "x.bands", "x.sketch")
     )
-    exploded = nodes.select("key", "n", F.explode("bands").alias("band"))
-    shared = exploded.groupBy("band").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "a")
+    exploded = nodes.select("key", F.explode("bands").alias("band"))
+    shared = exploded.groupBy("band").count().where("count > 1").select("band")
     within = cut(exploded.join(shared, "band"))
-    sizes = nodes.select(F.col("key").alias("a"), F.col("n").alias("n_a"))
-    stars = within.where("a <> key").select("a", F.col("key").alias("b"), "n").distinct().join(sizes, "a")
-    stars = cut(stars.where(f"least(n, n_a) >= {least} * greatest(n, n_a)").select("a", "b"))
-
-    def texts(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        wanted = wanted.join(nodes.select("key", "at"), "key")
-        return base.where("text is not null").join(wanted, "key").where("id <=> at").select("key", "text").dropDuplicates(["key"])
-
-    links = cut(_verified(stars, texts(stars), least))
+    sizes = nodes.select("key", "n")
+    stars = within.join(within.groupBy("band").agg(F.min("key").alias("a")), "band").where("a <> key").select("a", F.col("key").alias("b")).distinct()
+    stars = stars.join(sizes.withColumnsRenamed({"key": "a", "n": "n_a"}), "a").join(sizes.withColumnsRenamed({"key": "b", "n": "n_b"}), "b")
+    stars = cut(stars.where(f"least(n_a, n_b) >= {least} * greatest(n_a, n_b)").select("a", "b"))
+
+    wanted = stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))).distinct().join(nodes.select("key", "at"), "key")
+    texts = base.where("text is not null").join(wanted, "key").where("id <=> at").select("key", "text").dropDuplicates(["key"])
+    links = cut(_verified(stars, texts, least))
     labels = components(links)
     labelled = within.join(labels, within.key == labels.node, "left").select("band", "key", F.coalesce("label", "key").alias("label"))
     split = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
     members = labelled.join(split, "band").join(nodes.select("key", "n", "sketch"), "key")
-    more = cut(_across(members).join(stars, ["a", "b"], "left_anti"))
-    late = _verified(more, texts(more), least)
+    clusters = components(_alike(members.select("band", "key", "label", "n", "sketch"), least)).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
+    clusters = cut(clusters.join(nodes.select("key", "n", "at"), "key"))
+    late = _linked(base.where("text is not null").join(clusters, "key").where("id <=> at").dropDuplicates(["key"]).select("key", "cluster", "n", "text"), least)
     ends = late.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("y")), "b", "left")
     contracted = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
     top = contracted.select(F.col("node").alias("label"), F.col("label").alias("top"))
@@ -258,16 +331,39 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
     placed = nodes.select("key", "id", "copies").join(linked, "key", "left").where("copies > 1 or label is not null")
     placed = placed.withColumn("label", F.coalesce("label", "key"))
     classes = placed.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_key = cut(placed.select("key", "label").join(classes, "label").select("key", "class_id", "class_size"))
+    of_key = cut(placed.select("key", "label").join(classes, "label").select("key", "class_id", "class_size", F.col("label").alias("class_key")))
     found = base.select("id", "key").join(of_key.withColumn("known", F.lit(True)), "key", "left")
     return found.select(
         F.col("id").alias(id),
         "key",
         F.when(F.col("known"), F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+        F.coalesce("class_key", "key").alias("class_key"),
     )
 
 
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = LEAST, most_broadcast: int = 200_000) -> DataFrame:
+    """The rows of docs without near duplicates: of each class the row of the least id stays, of its rows the one of the least key.
+
+    Null texts all stay. A null id loses to any other; of several equal rows one
+    stays. The rows that go are told to all tasks if they are at most
+    `most_broadcast`, else by a join.
+    """
+    found = cut(near_duplicates(docs, id, text, least).where("key is not null").select(F.col(id).alias("_id"), F.col("key").alias("_key"), "class_key"))
+    first = found.groupBy("class_key").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("x")).select("class_key", F.col("x._id").alias("_a"), F.col("x._key").alias("_b"))
+    told = found.join(first, "class_key")
+    stays = F.col("_id").eqNullSafe(F.col("_a")) & (F.col("_key") == F.col("_b"))
+    gone = cut(told.where(~stays).select("_id", "_key").distinct())
+    again = cut(told.where(stays).groupBy("_id", "_key").count().where("count > 1").select("_id", "_key"))
+    marked = docs.withColumn("_of_text", F.unhex(F.md5(F.col(text).cast("binary"))))
+    same = lambda side: marked[id].eqNullSafe(side["_id"]) & (marked["_of_text"] == side["_key"])
+    n = gone.count()
+    kept = marked.join(F.broadcast(gone) if n <= most_broadcast else gone, same(gone), "left_anti")
+    if not again.isEmpty():
+        kept = kept.join(again, same(again), "left_anti").unionByName(marked.join(again, same(again), "left_semi").dropDuplicates([id, "_of_text"]))
+    return kept.drop("_of_text")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_size")
