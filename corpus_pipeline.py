@@ -1,12 +1,77 @@
-"""The corpus pipeline: language, near duplicates, benchmark passages, personal data, mixture."""
+"""The corpus pipeline: language, near duplicates, benchmark passages, personal data, mixture.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it
+kept. All but the last return the columns of docs. Nulls, empty texts, repeated
+rows, empty tables and further columns are handled as the operators say.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from geoloom.llm.common import held_out, shared_folder, table
+from geoloom.llm.decontam import decontaminate, is_contaminated
+from geoloom.llm.language import UNKNOWN, fit, identify
+from geoloom.llm.mixing import mix
+from geoloom.llm.neardup import keep_one
+from geoloom.llm.pii import PRODUCTION_KEY, pseudonymize
+
+#: Under this probability no language stands out.
+LEAST_LANGUAGE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no known language: null texts, texts without a letter, and those where none stands out."""
+    net = fit(docs.where(~held_out(F.col("doc_id"))))
+    found = identify(docs, net, pred="_language", score="_probability")
+    return found.where((F.col("_language") != UNKNOWN) & (F.col("_probability") >= LEAST_LANGUAGE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, that of the least doc_id."""
+    return keep_one(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops contaminated documents: those with a twentieth or more of their words in benchmark windows."""
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), out="_found")
+    return found.where(~is_contaminated("_found")).select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal values by pseudonyms; n_chars follows where a text changes."""
+    found = pseudonymize(docs, PRODUCTION_KEY, count="_pseudonyms")
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col("_pseudonyms") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds the place in the mixture of sources, and deals the rows out in that order; rows without a place come last."""
+    order = F.coalesce("mix_position", F.lit(2**63 - 1))
+    return mix(docs).repartitionByRange(order).sortWithinPartitions(order)
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_passages", benchmark_passages),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+]
 
-STAGES: list = []
+#: Trained networks, hashes and similarities are beyond SQL; tests hold the pipeline against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over documents; what each but the last returns is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
