@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from geoloom.plans import expressions, joins
+
 FLAGSHIP = "s2_current_versions"
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = expressions.QUERIES | joins.QUERIES
+SQL: dict[str, str] = expressions.SQL | joins.SQL
