@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -45,9 +46,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a checkpoint in the shared folder."""
+    """Cuts the lineage by a checkpoint in the shared folder.
+
+    What led there isn't needed again, so the driver collects its garbage: Spark
+    deletes the shuffles and checkpoints of frames that no variable holds.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return done
 
 
 #: ASCII other than digits and letters becomes a space, A-Z becomes a-z; every

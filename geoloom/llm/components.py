@@ -25,6 +25,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether each larger end has one edge and is no smaller end: then the smaller ends are the labels."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("top")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("top")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("top").alias("top")).where("up > 1 or up = 1 and top = 1").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of every node that has an edge to another; label is the least node of its component.
 
@@ -33,13 +39,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     now = cut(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
 
-    def mark(e: DataFrame):
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    seen = mark(now)
-    while seen[0]:
+    while not _settled(now):
         now = cut(_star(_star(now, True), False))
-        if (new := mark(now)) == seen:
-            break
-        seen = new
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -303,21 +303,20 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
         .agg(F.min(F.struct("id", "n", "bands", "sketch")).alias("x"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
         .select("key", "id", F.col("x.id").alias("at"), "copies", "x.n", "x.bands", "x.sketch")
     )
-    exploded = nodes.select("key", F.explode("bands").alias("band"))
+    exploded = nodes.select("key", "n", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").count().where("count > 1").select("band")
     within = cut(exploded.join(shared, "band"))
-    sizes = nodes.select("key", "n")
-    stars = within.join(within.groupBy("band").agg(F.min("key").alias("a")), "band").where("a <> key").select("a", F.col("key").alias("b")).distinct()
-    stars = stars.join(sizes.withColumnsRenamed({"key": "a", "n": "n_a"}), "a").join(sizes.withColumnsRenamed({"key": "b", "n": "n_b"}), "b")
-    stars = cut(stars.where(f"least(n_a, n_b) >= {least} * greatest(n_a, n_b)").select("a", "b"))
+    leaders = within.groupBy("band").agg(F.min(F.struct("key", "n")).alias("first"))
+    stars = within.join(leaders, "band").where(f"first.key <> key and least(n, first.n) >= {least} * greatest(n, first.n)")
+    stars = cut(stars.select(F.col("first.key").alias("a"), F.col("key").alias("b")).distinct())
 
     wanted = stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))).distinct().join(nodes.select("key", "at"), "key")
     texts = base.where("text is not null").join(wanted, "key").where("id <=> at").select("key", "text").dropDuplicates(["key"])
     links = cut(_verified(stars, texts, least))
     labels = components(links)
-    labelled = within.join(labels, within.key == labels.node, "left").select("band", "key", F.coalesce("label", "key").alias("label"))
+    labelled = within.join(labels, within.key == labels.node, "left").select("band", "key", "n", F.coalesce("label", "key").alias("label"))
     split = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band")
-    members = labelled.join(split, "band").join(nodes.select("key", "n", "sketch"), "key")
+    members = labelled.join(split, "band").join(nodes.select("key", "sketch"), "key")
     clusters = components(_alike(members.select("band", "key", "label", "n", "sketch"), least)).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
     clusters = cut(clusters.join(nodes.select("key", "n", "at"), "key"))
     late = _linked(base.where("text is not null").join(clusters, "key").where("id <=> at").dropDuplicates(["key"]).select("key", "cluster", "n", "text"), least)
@@ -349,18 +348,17 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", least: flo
     stays. The rows that go are told to all tasks if they are at most
     `most_broadcast`, else by a join.
     """
-    found = cut(near_duplicates(docs, id, text, least).where("key is not null").select(F.col(id).alias("_id"), F.col("key").alias("_key"), "class_key"))
-    first = found.groupBy("class_key").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("x")).select("class_key", F.col("x._id").alias("_a"), F.col("x._key").alias("_b"))
-    told = found.join(first, "class_key")
-    stays = F.col("_id").eqNullSafe(F.col("_a")) & (F.col("_key") == F.col("_b"))
-    gone = cut(told.where(~stays).select("_id", "_key").distinct())
-    again = cut(told.where(stays).groupBy("_id", "_key").count().where("count > 1").select("_id", "_key"))
+    found = near_duplicates(docs, id, text, least).where("class_size > 1")
+    found = cut(found.select(F.col(id).alias("_id"), F.col("key").alias("_key"), F.col("class_id").eqNullSafe(F.col(id)).alias("_first"), F.col("class_key").alias("_class")))
+    gone = found.where("not _first").select("_id", "_key")
+    again = found.where("_first").groupBy("_class").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("_key"), F.first("_id").alias("_id")).where("n > 1")
     marked = docs.withColumn("_of_text", F.unhex(F.md5(F.col(text).cast("binary"))))
     same = lambda side: marked[id].eqNullSafe(side["_id"]) & (marked["_of_text"] == side["_key"])
     n = gone.count()
     kept = marked.join(F.broadcast(gone) if n <= most_broadcast else gone, same(gone), "left_anti")
-    if not again.isEmpty():
-        kept = kept.join(again, same(again), "left_anti").unionByName(marked.join(again, same(again), "left_semi").dropDuplicates([id, "_of_text"]))
+    if not again.isEmpty():  # rows of one id
+        several = cut(found.where("_first").join(again.select("_class"), "_class").select("_id", "_key").distinct())
+        kept = kept.join(several, same(several), "left_anti").unionByName(marked.join(again, same(again), "left_semi").dropDuplicates(["_of_text"]))
     return kept.drop("_of_text")
 
 
