@@ -22,7 +22,7 @@ ISO_DATE = r"(?<![\d./-])\d{4}([-/.])\d{2}\1\d{2}(?![\d-]|[./]\d)"
 DATE = r"(?<![\d./-])\d{1,2}([-/.])\d{1,2}\2\d{4}(?![\d-]|[./]\d)"
 IPV4 = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PLUS_PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+PLUS_PHONE = r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .()-]{0,2}\d){7,12}(?!\d)"
 PHONE = r"(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])"
 CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?!\d|-\d)"
 CANDIDATE = "|".join([EMAIL, IBAN, ISO_DATE, DATE, IPV4, SSN, PLUS_PHONE, PHONE, CARD])
