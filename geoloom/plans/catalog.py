@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.plans import expressions, joins
+from geoloom.plans import checks, expressions, joins
 
 FLAGSHIP = "s2_current_versions"
+MODULES = (expressions, joins, checks)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = expressions.QUERIES | joins.QUERIES
-SQL: dict[str, str] = expressions.SQL | joins.SQL
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: run for m in MODULES for name, run in m.QUERIES.items()}
+SQL: dict[str, str] = {name: sql for m in MODULES for name, sql in m.SQL.items()}

@@ -239,8 +239,7 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
 }
 
 
-def statement(name: str):
-    views, tables, sql = STATEMENTS[name]
+def statement(name: str, views: tuple[str, ...], tables: tuple[str, ...], sql: str):
     spark_sql = sql.replace(", '', 'g')", ", '')")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,6 +249,11 @@ def statement(name: str):
     return run
 
 
-QUERIES = {name: statement(name) for name in STATEMENTS}
-SQL = {name: oracle(sql.format(**{x: x for x in (*views, *tables)}), *views) for name, (views, tables, sql) in STATEMENTS.items()}
-assert all(v in VIEWS for views, _, _ in STATEMENTS.values() for v in views)
+def build(statements: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]]):
+    """The queries of statements, and their SQL for DuckDB."""
+    assert all(v in VIEWS for views, _, _ in statements.values() for v in views)
+    queries = {name: statement(name, *parts) for name, parts in statements.items()}
+    return queries, {name: oracle(sql.format(**{x: x for x in (*views, *tables)}), *views) for name, (views, tables, sql) in statements.items()}
+
+
+QUERIES, SQL = build(STATEMENTS)

@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Both triangles of each square of the raster that has its four corners, cut from south-west to north-east; 10 m cells.
+RAS = """select l_partkey % 100 as r, l_orderkey % 100 as c, cast(floor(min(l_extendedprice) * 100 + 0.5) as bigint) as zc
+        from {lineitem} where l_discount > 0.07 group by l_partkey % 100, l_orderkey % 100"""
+
 #: View -> (tables it reads, SQL with the tables in braces).
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "versions": (
@@ -22,8 +26,15 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "ras": (
         ("lineitem",),
-        """select l_partkey % 100 as r, l_orderkey % 100 as c, cast(floor(min(l_extendedprice) * 100 + 0.5) as bigint) as zc
-        from {lineitem} where l_discount > 0.07 group by l_partkey % 100, l_orderkey % 100""",
+        RAS,
+    ),
+    "tris": (
+        ("lineitem",),
+        f"""with cells as ({RAS}), squares as (select a.r, a.c, a.zc / 100.0e0 as sw, b.zc / 100.0e0 as se, d.zc / 100.0e0 as ne, e.zc / 100.0e0 as nw from cells a
+        join cells b on b.r = a.r and b.c = a.c + 1 join cells d on d.r = a.r + 1 and d.c = a.c + 1 join cells e on e.r = a.r + 1 and e.c = a.c)
+        select (r * 100 + c) * 2 as tri, c * 10.0e0 as x1, r * 10.0e0 as y1, sw as z1, c * 10.0e0 + 10 as x2, r * 10.0e0 as y2, se as z2, c * 10.0e0 + 10 as x3, r * 10.0e0 + 10 as y3, ne as z3,
+        r * 100 + c as v1, r * 100 + c + 1 as v2, r * 100 + c + 101 as v3 from squares
+        union all select (r * 100 + c) * 2 + 1, c * 10.0e0, r * 10.0e0, sw, c * 10.0e0 + 10, r * 10.0e0 + 10, ne, c * 10.0e0, r * 10.0e0 + 10, nw, r * 100 + c, r * 100 + c + 101, r * 100 + c + 100 from squares""",
     ),
     "poly": (
         ("customer",),
