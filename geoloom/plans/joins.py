@@ -12,18 +12,26 @@ from geoloom.sources.views import oracle, view
 QUERIES, SQL = {}, {}
 
 
-def query(name: str, views: tuple[str, ...], sql: str | None):
-    def put(f):
-        def run(spark, sf_dir):
-            return f(*[view(spark, sf_dir, v) for v in views])
-
-        run.__doc__ = f.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            SQL[name] = oracle(sql, *views)
-        return f
-
-    return put
+def collector(queries: dict, sqls: dict):
+    """A decorator that files queries over views, and their SQL."""
+
+    def query(name: str, views: tuple[str, ...], sql: str | None):
+        def put(f):
+            def run(spark, sf_dir):
+                return f(*[view(spark, sf_dir, v) for v in views])
+
+            run.__doc__ = f.__doc__
+            queries[name] = run
+            if sql is not None:
+                sqls[name] = oracle(sql, *views)
+            return f
+
+        return put
+
+    return query
+
+
+query = collector(QUERIES, SQL)
 
 
 @query("s2_current_versions", ("versions",), """select seq, object_id, kind, ended from (select *, row_number() over (partition by object_id order by seq) as k
