@@ -120,11 +120,6 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
         """select id, case when kind = 'view' then y / 10 + 2.4e0 else y / 10 - 0.15e0 end as z0, case when kind = 'view' then y / 10 + 2.4e0 + v / 50 else y / 10 + v / 50 end as z1 from {pts}""",
     ),
     "p21_tile_width": (("buildings",), (), "select id, case when function = 3 then 9.0e0 when function in (1, 2) then 7.0e0 else 4.0e0 end as tile_m from {buildings}"),
-    "p31_face_key": (
-        ("poly",), (),
-        """select id, cast(floor(lev / 2 + 0.5) as bigint) % 90 as azimuth, cast(floor((cx + cy) / 0.5e0 + 0.5) as bigint) as shift,
-        cast(dense_rank() over (order by cls, cast(floor(lev / 2 + 0.5) as bigint) % 90, cast(floor((cx + cy) / 0.5e0 + 0.5) as bigint)) as bigint) as face from {poly}""",
-    ),
     "p35_cost_estimate": (
         (), ("orders",),
         """select o_custkey, (sum(case o_orderpriority when '1-URGENT' then 1 + 8 * km2 when '2-HIGH' then 1 + 30 * km2 + 2.5e0 * mpx when '3-MEDIUM' then 2 + 75 * km2 else 0.5e0 + 5 * km2 end) + 12) as seconds
@@ -215,7 +210,6 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
         """select r, c, greatest(10000, coalesce(abs(zc - lag(zc) over (partition by r order by c)), 0), coalesce(abs(zc - lead(zc) over (partition by r order by c)), 0),
         coalesce(abs(zc - lag(zc) over (partition by c order by r)), 0), coalesce(abs(zc - lead(zc) over (partition by c order by r)), 0)) as allowance from {ras}""",
     ),
-    "w16_prefix_offsets": (("lines",), (), "select line, n, cast(sum(n) over (order by line rows between unbounded preceding and current row) - n as bigint) as start_at from (select line, count(*) as n from {lines} group by line) t"),
     "w17_runs": (
         ("ras",), (),
         """select r, min(c) as c0, max(c) as c1, count(*) as cells from (select r, c, c - row_number() over (partition by r order by c) as island from {ras}) t group by r, island""",

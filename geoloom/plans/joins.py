@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from geoloom.functions import vocabulary as V
-from geoloom.operators import graph, raster, registers, spatial
+from geoloom.operators import graph, raster, registers, sequences, spatial
 from geoloom.sources.views import oracle, view
 
 QUERIES, SQL = {}, {}
@@ -273,3 +273,20 @@ def w6(ras):
 def c1(network):
     """The least node that each node reaches."""
     return graph.connected_components(network)
+
+
+@query("w16_prefix_offsets", ("lines",), "select line, n, cast(sum(n) over (order by line rows between unbounded preceding and current row) - n as bigint) as start_at from (select line, count(*) as n from lines group by line) t")
+def w16(lines):
+    """Where each line's vertices begin if all lines follow one another."""
+    sizes = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    return sequences.prefix_sums(sizes, F.floor(F.col("line") / 4096), [F.col("line")], "n", "start_at")
+
+
+@query("p31_face_key", ("poly",), """select id, azimuth, shift, cast(dense_rank() over (order by cls, azimuth, shift) as bigint) as face from (
+  select id, cls, cast(floor(lev / 2 + 0.5) as bigint) % 90 as azimuth, cast(floor((cx + cy) / 0.5e0 + 0.5) as bigint) as shift from poly)""")
+def p31(poly):
+    """Faces numbered by class, direction and distance."""
+    keyed = poly.select("id", "cls", (F.floor(F.col("lev") / 2 + 0.5) % 90).alias("azimuth"), F.floor((F.col("cx") + F.col("cy")) / 0.5 + 0.5).alias("shift"))
+    keys = keyed.select("cls", "azimuth", "shift").distinct().withColumn("one", F.lit(1).cast("long"))
+    numbered = sequences.prefix_sums(keys, F.struct("cls", "azimuth"), [F.col("shift")], "one", "before")
+    return keyed.join(numbered, ["cls", "azimuth", "shift"]).select("id", "azimuth", "shift", (F.col("before") + 1).alias("face"))
