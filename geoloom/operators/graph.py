@@ -3,19 +3,33 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder of spark.checkpoint.dir; where that is unset, as in tests, a temporary one."""
-    context = df.sparkSession.sparkContext
+def folder(spark: SparkSession) -> str:
+    """The folder for checkpoints, that of spark.checkpoint.dir; where that is unset, as in tests, a temporary one."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder."""
+    folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like shared, by a table. Estimates of its size start anew there, whereas a checkpoint keeps them, and joins in many rounds multiply them without end."""
+    path = f"{folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the least node that each node reaches. Rounds are about the logarithm of the longest path."""
     both = shared(edges.select(F.col(a).alias("s"), F.col(b).alias("t")).unionByName(edges.select(F.col(b).alias("s"), F.col(a).alias("t"))).distinct())

@@ -1,15 +1,25 @@
-"""Piers, shared outlines, structures, quays and shadows: selections and stages over several operators."""
+"""Piers, shared outlines, structures, quays, meshes and shadows: selections and stages over several operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.operators import lines as L, mesh, rings, spatial
+from geoloom.operators import greedy, lines as L, mesh, refine, rings, spatial
+from geoloom.plans import expressions, shapes
 from geoloom.plans.joins import PIP, collector
 from geoloom.plans.shapes import WALK
 
-QUERIES, SQL = {}, {}
+QUERIES, SQL = expressions.build(
+    {
+        "x15_value_noise": (
+            ("pts",), (),
+            """select id, round((n00 * (1 - u) + n10 * u) * (1 - w) + (n01 * (1 - u) + n11 * u) * w, 9) as noise from (select id, fx * fx * (3 - 2 * fx) as u, fy * fy * (3 - 2 * fy) as w,
+            (i * 7919 + j * 104729) % 1009 / 1009.0e0 as n00, ((i + 1) * 7919 + j * 104729) % 1009 / 1009.0e0 as n10, (i * 7919 + (j + 1) * 104729) % 1009 / 1009.0e0 as n01, ((i + 1) * 7919 + (j + 1) * 104729) % 1009 / 1009.0e0 as n11
+            from (select id, cast(floor(x / 32) as bigint) as i, cast(floor(y / 32) as bigint) as j, x / 32 - floor(x / 32) as fx, y / 32 - floor(y / 32) as fy from {pts}) a) b""",
+        ),
+    }
+)
 query = collector(QUERIES, SQL)
 
 #: A pier stands in the water if this share of its outline borders on it, to so many metres.
@@ -158,3 +168,59 @@ def x14(ras):
     gains = per.select("class", F.coalesce("g", overall, plain).alias("g")).where("class is not null").select("class", "g.*")
     lit = cells.join(gains, "class").withColumn("applied", F.expr(APPLIED))
     return lit.selectExpr("r", "c", *RELIGHT)
+
+
+@query("g4_refine_until_fit", ("pts",), None)
+def g4(pts):
+    """Two triangles over the area, split at their worst point until none is 40 m off."""
+    corners = [("0", 0.0, 0.0, 0.0, 1000.0, 0.0, 0.0, 1000.0, 1000.0, 0.0), ("1", 0.0, 0.0, 0.0, 1000.0, 1000.0, 0.0, 0.0, 1000.0, 0.0)]
+    two = pts.sparkSession.createDataFrame(corners, "tri string, x1 double, y1 double, z1 double, x2 double, y2 double, z2 double, x3 double, y3 double, z3 double")
+    places = pts.groupBy("x", "y").agg(F.max("v").alias("z"), F.min("id").alias("id"))
+    return refine.until_fit(two, places.select("id", "x", "y", "z"), 40.0)
+
+
+@query("x6_barriers", ("lines", "ras"), f"""select n.line, n.vertex, x + 0.15e0 * nx as lx, y + 0.15e0 * ny as ly, x - 0.15e0 * nx as rx, y - 0.15e0 * ny as ry, zc as base,
+  zc + case when kind = '1-URGENT' then 2000000 when kind = '2-HIGH' then 1200000 else 900000 end as top from ({shapes.SQL["p28_offset_normals"]}) n join lines l on l.line = n.line and l.vertex = n.vertex
+  left join ras on r = least(cast(floor(y / 10) as bigint), 99) and c = least(cast(floor(x / 10) as bigint), 99)""")
+def x6(lines, ras):
+    """Both sides of barriers of 0.3 m, mitred at corners, from the ground up to the height of their kind."""
+    sides = L.offset_normals(lines, "x", "y", "kind").withColumns({"nx": F.round("nx", 6), "ny": F.round("ny", 6)})
+    out = sides.select("line", "vertex", "kind", *[(F.col(a) + s * F.col("n" + a)).alias(n + a) for a in "xy" for s, n in ((0.15, "l"), (-0.15, "r"))], *[F.least(F.floor(F.col(a) / 10), F.lit(99)).alias(n) for a, n in (("y", "r"), ("x", "c"))])
+    height = F.when(F.col("kind") == "1-URGENT", 2000000).when(F.col("kind") == "2-HIGH", 1200000).otherwise(900000)
+    return out.join(ras, ["r", "c"], "left").select("line", "vertex", "lx", "ly", "rx", "ry", F.col("zc").alias("base"), (F.col("zc") + height).alias("top"))
+
+
+@query("x11_road_cuts", ("lines",), None)
+def x11(lines):
+    """Cuts of 12 m across roads at every 100 m; of cuts that cross, the one of the earlier road and station stays."""
+    path = spatial.segments(lines)
+    start, w = F.col("along") - F.col("len"), 6.0
+    inner = path.where((F.col("len") > 0) & (F.ceil(start / 100) * 100 < F.col("along")))
+    at = inner.select("line", "x", "y", "px", "py", "len", start.alias("start"), F.explode(F.sequence(F.ceil(start / 100), F.ceil(F.col("along") / 100) - 1)).alias("k"))
+    t, nx, ny = (F.col("k") * 100 - F.col("start")) / F.col("len"), (F.col("py") - F.col("y")) / F.col("len"), (F.col("x") - F.col("px")) / F.col("len")
+    mx, my = F.col("px") + t * (F.col("x") - F.col("px")), F.col("py") + t * (F.col("y") - F.col("py"))
+    cuts = at.select((F.col("line") * 1000000 + F.col("k")).alias("seg"), "line", "k", (mx - w * nx).alias("px"), (my - w * ny).alias("py"), (mx + w * nx).alias("qx"), (my + w * ny).alias("qy"))
+    pairs = L.crossings(cuts.select("seg", "px", "py", "qx", "qy"), 24.0)
+    return greedy.conflict_free(cuts.withColumnRenamed("seg", "id"), pairs, [F.col("line"), F.col("k")])
+
+
+@query("x12_grid_mesh", ("ras", "tris"), "select tri, v1, v2, v3, round(((x2 - x1) * (y3 - y1) - (x3 - x1) * (y2 - y1)) / 2, 6) as area from tris")
+def x12(ras, tris):
+    """Both triangles of each square whose corners are all present, against the clock; each cell sends itself to its four squares, so nothing is joined."""
+    corner = F.explode(F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (0, 1) for dc in (0, 1)]))
+    sent = ras.select("r", "c", corner.alias("o")).select((F.col("r") - F.col("o.dr")).alias("r"), (F.col("c") - F.col("o.dc")).alias("c"))
+    squares = sent.groupBy("r", "c").agg(F.count(F.lit(1)).alias("n")).where("n = 4 and r >= 0 and c >= 0").select((F.col("r") * 100 + F.col("c")).alias("v"))
+    both = F.array(*[F.struct((F.col("v") * 2 + k).alias("tri"), F.col("v").alias("v1"), (F.col("v") + a).alias("v2"), (F.col("v") + b).alias("v3")) for k, a, b in ((0, 1, 101), (1, 101, 100))])
+    at = lambda v, a: (F.col(v) % 100 if a == "x" else F.floor(F.col(v) / 100)) * 10.0
+    made = squares.select(F.inline(both))
+    area = ((at("v2", "x") - at("v1", "x")) * (at("v3", "y") - at("v1", "y")) - (at("v3", "x") - at("v1", "x")) * (at("v2", "y") - at("v1", "y"))) / 2
+    return made.select("tri", "v1", "v2", "v3", F.round(area, 6).alias("area"))
+
+
+@query("x13_layers", ("poly",), f"""select cls, count(*) as pieces, round(sum(area), 6) as area from (select coalesce(n.cls, p.cls) as cls, 2 * p.rad * p.rad - 2 * p.hole * p.hole as area
+  from poly p left join ({shapes.SQL["j23_longest_border"]}) j on j.small = p.id left join poly n on n.id = j.neighbour) group by cls""")
+def x13(poly):
+    """Area by layer once slivers have gone to the neighbour they border on most."""
+    to = shapes.j23(poly).join(poly.select(F.col("id").alias("neighbour"), F.col("cls").alias("to")), "neighbour").select(F.col("small").alias("id"), "to")
+    folded = poly.join(to, "id", "left").select(F.coalesce("to", "cls").alias("cls"), F.expr("2 * rad * rad - 2 * hole * hole").alias("area"))
+    return folded.groupBy("cls").agg(F.count(F.lit(1)).alias("pieces"), F.round(F.sum("area"), 6).alias("area"))
