@@ -35,8 +35,3 @@ def steps(found: Column, between: Column) -> Column:
         F.sequence(F.lit(1), F.size(found)),
         lambda k: (F.char_length(F.element_at(between, k)) + F.when(k > 1, F.char_length(F.element_at(found, k - 1))).otherwise(0)).cast("long"),
     )
-
-
-def replaced(between: Column, found: Column) -> Column:
-    """The text again: what is between the matches, and what they became."""
-    return F.array_join(F.flatten(F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")

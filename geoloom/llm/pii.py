@@ -13,19 +13,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.common import table
-from geoloom.llm.matches import replaced
 
 ROUNDS = 10
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-ISO_DATE = r"(?<![\d./-])\d{4}([-/.])\d{2}\1\d{2}(?![\d-]|[./]\d)"
-DATE = r"(?<![\d./-])\d{1,2}([-/.])\d{1,2}\2\d{4}(?![\d-]|[./]\d)"
+ISO_DATE = r"(?<![\d./-])\d{4}(?<iso>[-/.])\d{2}\k<iso>\d{2}(?![\d-]|[./]\d)"
+DATE = r"(?<![\d./-])\d{1,2}(?<day>[-/.])\d{1,2}\k<day>\d{4}(?![\d-]|[./]\d)"
 IPV4 = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PLUS_PHONE = r"(?<![\d+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .()-]{0,2}\d){7,12}(?!\d)"
 PHONE = r"(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])"
-CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?!\d|-\d)"
+CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 CANDIDATE = "|".join([EMAIL, IBAN, ISO_DATE, DATE, IPV4, SSN, PLUS_PHONE, PHONE, CARD])
+#: The longest candidate from each place where one starts, also inside others.
+AHEAD = f"(?=({CANDIDATE}))"
+#: How cards are mostly written: taken before other runs of groups.
+TIGHT = r"^(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5})$"
+#: Lengths of cards, the likelier first.
+CARD_LENGTHS = (16, 15, 14, 13, 19, 18, 17)
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 #: Dates from 1900-01-01 to 2099-12-31: 17 * 4297 days.
 FIRST_DAY, DAY_PARTS = "1900-01-01", (17, 4297)
 #: Areas 001-899 but 666, groups 01-99, serials 0001-9999.
@@ -234,13 +244,97 @@ def pseudonym(m: Column, key: str, back: bool = False) -> Column:
     return out.otherwise(KINDS[-1][1](m, key, back))
 
 
+def starts_of(m: Column, end: str) -> Column:
+    """The candidate cut at each end of a group, the whole last. end: what follows a group."""
+    length = F.char_length(m)
+    ends = F.filter(F.sequence(F.lit(13), length), lambda k: ((k == length) | m.substr(k + 1, F.lit(1)).rlike(end)) & ~m.substr(k, F.lit(1)).rlike(end))
+    return F.transform(ends, lambda k: m.substr(F.lit(1), k))
+
+
+def cards_in(m: Column) -> Column:
+    """The cuts of a candidate that are cards, the likelier lengths first."""
+    digits = F.transform(starts_of(m, "[ -]"), lambda x: F.struct(F.array_position(F.array(*[F.lit(n) for n in CARD_LENGTHS]), F.char_length(digits_of(x))).alias("place"), x.alias("x"), digits_of(x).alias("digits")))
+    valid = F.filter(digits, lambda c: (c["place"] > 0) & (luhn(c["digits"], False) % 10 == 0))
+    return F.transform(F.array_sort(valid), lambda c: c["x"])
+
+
+def iban_in(m: Column) -> Column:
+    """The cut of a candidate that is an IBAN: of its country's length, else the longest; null if none is."""
+    lengths = F.create_map(*[F.lit(x) for n, countries in IBAN_LENGTHS.items() for c in countries.split() for x in (c, n)])
+    flat = F.transform(starts_of(m, " "), lambda x: F.struct(x.alias("x"), F.regexp_replace(x, " ", "").alias("flat")))
+    valid = F.filter(flat, lambda c: F.char_length(c["flat"]).between(15, 34) & (mod97(F.concat(c["flat"].substr(F.lit(5), F.char_length(c["flat"])), c["flat"].substr(1, 4))) == 1))
+    right = F.filter(valid, lambda c: F.char_length(c["flat"]) == lengths[m.substr(1, 2)])
+    return F.get(F.concat(right, F.reverse(valid)), F.lit(0))["x"]
+
+
+def chosen(rows: DataFrame, key: str, back: bool) -> DataFrame:
+    """_found (longest candidates by start) and _pieces (the text from each start to the next) -> _value, _new: what is taken at each start, else null.
+
+    Values are taken from left to right without overlap: first all kinds, of cards
+    those written tightly; then other cards within what is left between them.
+    """
+    none = F.array().cast("array<string>")
+    is_iban = lambda m: m.rlike(KINDS[1][0]) & ~m.contains("@")
+    is_card = lambda m: m.rlike(r"^[\d -]+$") & ~F.exists(F.array(*[F.lit(p) for p, _ in KINDS[2:-1]]), lambda p: F.regexp_like(m, p))
+    rows = rows.withColumn("_cards", F.transform("_found", lambda m: F.when(is_card(m), cards_in(m))))
+    first = lambda m, cards: F.when(cards.isNotNull(), F.get(F.filter(cards, lambda x: x.rlike(TIGHT)), F.lit(0))).when(is_iban(m), iban_in(m)).otherwise(m)
+    rows = rows.withColumn("_first", F.zip_with("_found", "_cards", first))
+    rows = rows.withColumn("_as", F.transform("_first", lambda m: pseudonym(m, key, back)))
+    size = lambda x: F.coalesce(F.char_length(x), F.lit(0))
+    rows = rows.withColumn("_items", F.arrays_zip(F.col("_pieces").alias("piece"), F.col("_first").alias("x"), F.col("_as").alias("y"), F.col("_cards").alias("cards")))
+    taken = F.aggregate(
+        "_items",
+        F.struct(F.lit(0).alias("used"), none.alias("all")),
+        lambda s, i: F.when(
+            (s["used"] <= 0) & (i["x"] != i["y"]), F.struct((size(i["x"]) - size(i["piece"])).alias("used"), F.concat(s["all"], F.array(i["x"])).alias("all"))
+        ).otherwise(F.struct((F.greatest(s["used"], F.lit(0)) - size(i["piece"])).alias("used"), F.concat(s["all"], F.array(F.lit(None).cast("string"))).alias("all"))),
+    )["all"]
+    rows = rows.withColumn("_taken", taken)
+    free = F.aggregate(  # characters from each start to the next taken value, from the right
+        F.reverse(F.arrays_zip(F.col("_pieces").alias("piece"), F.col("_taken").alias("x"))),
+        F.struct(F.lit(1_000_000_000).alias("room"), F.array().cast("array<int>").alias("all")),
+        lambda s, i: F.struct(F.when(i["x"].isNotNull(), F.lit(0)).otherwise(s["room"] + size(i["piece"])).alias("room"), F.concat(s["all"], F.array(s["room"] + size(i["piece"]))).alias("all")),
+    )["all"]
+    loose = F.exists(F.arrays_zip(F.col("_cards").alias("cards"), F.col("_taken").alias("x")), lambda i: i["x"].isNull() & (F.size(i["cards"]) > 0))
+    rows = rows.withColumn("_rooms", F.when(loose, F.reverse(free)))
+    fitting = lambda i: F.get(F.filter(i["cards"], lambda c: F.char_length(c) <= i["room"]), F.lit(0))
+    late = F.aggregate(
+        F.arrays_zip(F.col("_pieces").alias("piece"), F.col("_taken").alias("x"), F.col("_cards").alias("cards"), F.col("_rooms").alias("room")),
+        F.struct(F.lit(0).alias("used"), none.alias("all")),
+        lambda s, i: F.transform(
+            F.array(F.when(i["x"].isNotNull(), i["x"]).when(s["used"] <= 0, fitting(i))),
+            lambda x: F.struct((F.greatest(s["used"], size(x)) - size(i["piece"])).alias("used"), F.concat(s["all"], F.array(x)).alias("all")),
+        )[0],
+    )["all"]
+    rows = rows.withColumn("_value", F.when(loose, late).otherwise(F.col("_taken")))
+    new = lambda v, i: F.when(v.isNull(), F.lit(None)).when(v == i["x"], i["y"]).otherwise(card(v, key, back))
+    return rows.withColumn("_new", F.zip_with("_value", "_items", new))
+
+
+def rewritten(pieces: Column, values: Column, new: Column) -> Column:
+    """The pieces with the values at their starts replaced; a value may reach over pieces."""
+    skips = F.aggregate(
+        F.arrays_zip(pieces.alias("piece"), values.alias("x")),
+        F.struct(F.lit(0).alias("used"), F.array().cast("array<int>").alias("all")),
+        lambda s, i: F.struct(
+            F.greatest(F.coalesce(F.char_length(i["x"]), s["used"]) - F.char_length(i["piece"]), F.lit(0)).alias("used"),
+            F.concat(s["all"], F.array(F.coalesce(F.char_length(i["x"]), s["used"]))).alias("all"),
+        ),
+    )["all"]
+    left = F.zip_with(pieces, skips, lambda p, n: p.substr(n + 1, F.char_length(p)))
+    return F.array_join(F.zip_with(new, left, lambda y, rest: F.concat(F.coalesce(y, F.lit("")), rest)), "")
+
+
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str = "n_pseudonyms", back: bool = False) -> DataFrame:
     """Replaces the personal values in `text` and adds `count`, how many were replaced.
 
     Found: mail addresses (their name), IBANs (mod 97), dates of 1900 to 2099,
     IPv4 addresses, social security numbers, phone numbers of 8 to 15 digits, and
-    card numbers of 13 to 19 digits (Luhn). What fails its test stays as it is.
-    With back, the same key gives the values back.
+    card numbers of 13 to 19 digits (Luhn). What fails its test stays as it is, and
+    what starts inside it is tested too. Of digits in groups each run of whole
+    groups may be a card. With back, the same key gives the values back; only a
+    card in groups next to further groups may be lost to another run, where
+    pseudonyms make one pass the Luhn test by chance.
 
     Whole texts, row by row without a shuffle. Null texts stay null and empty
     ones empty, with a count of 0; repeated rows stay and get the same text; an
@@ -250,10 +344,13 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     kept = [c for c in docs.columns if c.lower() != count.lower()]
     t = F.col(text)
     has = t.rlike(CANDIDATE)
-    rows = docs.select(*kept, F.when(has, F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))).alias("_found"), F.when(has, F.split(t, CANDIDATE, -1)).alias("_between"))
-    rows = rows.withColumn("_new", F.when(F.col("_found").isNotNull(), F.transform("_found", lambda m: pseudonym(m, key, back))))
-    changed = F.size(F.filter(F.arrays_zip(F.col("_found").alias("a"), F.col("_new").alias("b")), lambda x: x["a"] != x["b"]))
-    new = F.when(F.col("_new").isNotNull(), replaced(F.col("_between"), F.col("_new"))).otherwise(t)
+    rows = docs.select(*kept, F.when(has, F.regexp_extract_all(t, F.lit(AHEAD), F.lit(1))).alias("_found"), F.when(has, F.split(t, AHEAD, -1)).alias("_split"))
+    extra = F.size("_split") - F.size("_found")  # 1 unless a candidate starts the text
+    rows = rows.withColumn("_head", F.when(extra == 1, F.col("_split")[0]).otherwise(F.lit("")))
+    rows = rows.withColumn("_pieces", F.when(F.col("_found").isNotNull(), F.slice("_split", extra + 1, F.size("_found"))))
+    rows = chosen(rows, key, back)
+    changed = F.size(F.filter(F.arrays_zip(F.col("_value").alias("a"), F.col("_new").alias("b")), lambda x: x["a"] != x["b"]))
+    new = F.when(F.col("_new").isNotNull(), F.concat("_head", rewritten(F.col("_pieces"), F.col("_value"), F.col("_new")))).otherwise(t)
     return rows.select(*[new.alias(c) if c == text else F.col(c) for c in kept], F.when(F.col("_new").isNotNull(), changed).otherwise(0).cast("long").alias(count))
 
 

@@ -106,6 +106,24 @@ def test_pseudonyms_round_trip(spark, odd, none):
     assert pii.pseudonymize(none, "k").count() == 0
 
 
+def test_pseudonyms_of_values_side_by_side(spark):
+    card, ip = "4845168114407329", "97.51.17.173"
+    grouped = "4845 1681 1440 7329"
+    texts = [
+        f"{card} 12/25", f"7 {card}", f"{grouped} 123", f"{card} {ip}", f"{card}-123", f"12-{card}", f"{card} 2021-03-04", f"2021-03-04 {card}", f"{card} {card}", f"1234 {grouped} word",
+        "48451681 14407329 123", f"AB12 {grouped}", f"4845168114407320 {ip}", "BE68 5390 0754 7034 EUR", "BE68539007547034 1234 5678", f"{ip} 1234 212 555 1234",
+    ]
+    counts = [1, 1, 1, 2, 1, 1, 2, 2, 2, 1, 1, 1, 1, 1, 1, 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    there = pii.pseudonymize(df, "k")
+    rows = there.orderBy("doc_id").collect()
+    assert [r.n_pseudonyms for r in rows] == counts
+    assert not any(x in r.text for r in rows for x in (card, grouped, ip, "48451681 14407329", "BE68"))
+    alone = rows[0].text.split()[0]
+    assert all(alone in r.text for r in rows[:9] if card in texts[r.doc_id]) and [rows[k].text.split()[-1] for k in (2, 13)] == ["123", "EUR"]
+    assert [r.text for r in pii.pseudonymize(there, "k", back=True).orderBy("doc_id").collect()] == texts
+
+
 def test_mixture_keeps_within_a_block(spark, none):
     rows = [(k, "abc"[min(k % 4, 2)]) for k in range(4000)] + [(None, None)] * 40
     df = spark.createDataFrame(rows, "doc_id long, source string")
