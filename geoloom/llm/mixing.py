@@ -4,58 +4,79 @@ A source's documents form blocks. With the share w of the mixture, a source's
 block k (from 0) is released at slot floor(k / w) and due by slot ceil((k+1) / w).
 Earliest deadline first gives each slot to a released block. As the shares sum
 to one, every block is in time, so at any slot a source is less than one block
-from its share. Shares are whole numbers of a period's slots, so one period's
-schedule is worked out and repeats. All in DataFrame functions.
+from its share. Shares are exact rationals, so this holds over the whole
+mixture. The driver schedules blocks; placing rows is DataFrame functions.
 """
 
 from __future__ import annotations
 
 import heapq
-import json
+from array import array
+from fractions import Fraction
+from math import gcd, lcm
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.common import table
 
 SLOTS = 1000
+#: Blocks of a source in a row of the schedule.
+CHUNK = 1024
 
 
-def shares(weights: dict[str, float], slots: int = SLOTS) -> dict[str, int]:
-    """Slots of the period for each source, by largest remainders; at least one each, so the period may grow."""
-    positive = {k: w for k, w in weights.items() if w > 0}
-    total = sum(positive.values())
-    slots = max(slots, 4 * len(positive))
-    exact = {k: slots * w / total for k, w in positive.items()}
-    out = {k: max(1, int(x)) for k, x in exact.items()}
-    order = sorted(exact, key=lambda k: (int(exact[k]) - exact[k], k))
-    for k in order:
-        if sum(out.values()) >= slots:
-            break
-        out[k] += 1
-    while (over := sum(out.values()) - slots) > 0:
-        k = max(out, key=lambda x: (out[x], x))
-        out[k] -= min(over, max(1, out[k] // 10))
-    return out
-
-
-def schedule(share: dict[str, int]) -> dict[str, list[int]]:
-    """One period's slots of each source's blocks, by earliest deadline first; ties go to the first source in order."""
-    period = sum(share.values())
-    release = {k: 0 for k in share}
+def shares(weights: dict[str, float]) -> dict[str, int]:
+    """The positive weights in whole numbers, in exactly the same proportions."""
+    exact = {k: Fraction(w) for k, w in weights.items() if w > 0}
+    below = lcm(*[w.denominator for w in exact.values()])
+    whole = {k: int(w * below) for k, w in exact.items()}
+    common = gcd(*whole.values())
+    return {k: w // common for k, w in whole.items()}
+
+
+def schedule(share: dict[str, int], blocks: dict[str, int], most: int = 2**62) -> tuple[dict[str, tuple[array, array, array]], int]:
+    """Release, deadline and slot of each source's blocks, by earliest deadline first, ties to the first source in order; and the first slot of a block that some source lacks.
+
+    Blocks released at `most` or later get no place; deadlines end there.
+    """
+    total = sum(share.values())
+    out = {k: (array("q"), array("q"), array("q")) for k in share}
     waiting = [(0, k) for k in sorted(share)]
-    ready: list[tuple[int, str]] = []
-    out: dict[str, list[int]] = {k: [] for k in share}
-    for slot in range(period):
+    ready: list[tuple[int, str, int]] = []
+    slot, horizon = 0, None
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
-            _, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(release[k] + 1) * period // share[k]), k))
-        _, k = heapq.heappop(ready)
-        out[k].append(slot)
-        release[k] += 1
-        if release[k] < share[k]:
-            heapq.heappush(waiting, (release[k] * period // share[k], k))
-    return out
+            release, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (min(most, -(-(len(out[k][0]) + 1) * total // share[k])), k, release))
+        deadline, k, release = heapq.heappop(ready)
+        if len(out[k][0]) == blocks[k]:
+            horizon = slot if horizon is None else horizon
+            continue
+        for held, x in zip(out[k], (release, deadline, slot), strict=True):
+            held.append(x)
+        slot += 1
+        if (release := len(out[k][0]) * total // share[k]) < most:
+            heapq.heappush(waiting, (release, k))
+    return out, slot if horizon is None else horizon
+
+
+def planned(spark: SparkSession, places: dict[str, tuple[array, array, array]]) -> DataFrame:
+    """_s, _chunk, _releases, _deadlines, _slots: the schedule, CHUNK blocks of a source in a row."""
+    names, chunks, ends = [], [], [0]
+    for s in sorted(places):
+        n = len(places[s][0])
+        for c in range(-(-n // CHUNK)):
+            names.append(s)
+            chunks.append(c)
+            ends.append(ends[-1] + min(CHUNK, n - c * CHUNK))
+    offsets = pa.array(ends, pa.int32())
+    flat = [np.concatenate([np.empty(0, np.int64), *[np.frombuffer(places[s][k], np.int64) for s in sorted(places)]]) for k in range(3)]
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in flat]
+    return spark.createDataFrame(pa.table([pa.array(names, pa.string()), pa.array(chunks, pa.int64()), *lists], ["_s", "_chunk", "_releases", "_deadlines", "_slots"]))
 
 
 def named(source: Column) -> Column:
@@ -80,13 +101,14 @@ def mix(
     first block that some source lacks: there the shares are kept to within a
     block. The rest follows by the same rule. weights: by source, of any scale;
     by default the square roots of the sources' row counts. Sources without a
-    positive weight keep null columns and in_mix false. Weights of absent sources
-    are ignored. No row is dropped.
+    positive weight keep null columns and in_mix false, as do blocks whose place
+    would exceed a long. Weights of absent sources are ignored. No row is dropped.
+    slots: without effect; the schedule has no period.
 
     Rows are numbered within a source by a hash of the id, in up to 65,536
     buckets with running counts, so that a hot source is spread. Per source only
-    a count reaches the driver, and the schedule goes out by broadcast if its
-    period has at most `most_broadcast` slots, else by a join. Null sources are a
+    a count reaches the driver, which holds three numbers a block; the schedule
+    goes out by broadcast if it has at most `most_broadcast` blocks, else by a join. Null sources are a
     source; null and repeated ids are rows like others; an empty table gives no
     row. Columns already named as the new ones are replaced.
     """
@@ -100,14 +122,10 @@ def mix(
     else:
         given = {"-" if k is None else f"={k}": w for k, w in weights.items()}
         chosen = {s: given.get(s, 0.0) for s in counts}
-    share = shares(chosen, slots) if any(w > 0 for w in chosen.values()) else {}
-    places = schedule(share)
-    period = sum(share.values())
-    full = lambda s: -(-counts[s] // block)
-    horizon = min((full(s) // share[s] * period + places[s][full(s) % share[s]] for s in share), default=0)
-    rows = json.dumps([{"s": s, "q": share[s], "slots": places[s]} for s in sorted(share)])
-    plan = spark.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<s:string,q:bigint,slots:array<bigint>>>")))
-    plan = plan.withColumnsRenamed({"s": "_s", "q": "_q", "slots": "_slots"})
+    share = shares(chosen) if any(w > 0 for w in chosen.values()) else {}
+    blocks = {s: -(-counts[s] // block) for s in share}
+    places, horizon = schedule(share, blocks, 2**62 // block)
+    plan = planned(spark, places)
 
     buckets = min(65_536, max(1, -(-sum(counts.values()) // rows_per_bucket)))
     own = docs.select(*kept, name.alias("_s"), F.xxhash64(id).alias("_draw")).withColumn("_bucket", F.pmod("_draw", F.lit(buckets)).cast("int"))
@@ -116,13 +134,15 @@ def mix(
     ties = [c for c, kind in docs.select(*kept).dtypes if not kind.startswith(("map", "variant", "interval"))]
     inside = F.row_number().over(Window.partitionBy("_s", "_bucket").orderBy("_draw", *ties)) - 1
     ranked = own.withColumn("_inside", inside).join(before, ["_s", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_inside"))
-    placed = ranked.join(F.broadcast(plan) if period <= most_broadcast else plan, "_s", "left").withColumn("_block", F.when(F.col("_q").isNotNull(), F.floor(F.col("_rank") / block)))
-    slot = F.floor(F.col("_block") / F.col("_q")) * period + F.element_at("_slots", (F.col("_block") % F.col("_q") + 1).cast("int"))
-    return placed.withColumn("_slot", slot).select(
+    ranked = ranked.withColumn("_block", F.floor(F.col("_rank") / block)).withColumn("_chunk", F.floor(F.col("_block") / CHUNK))
+    placed = ranked.join(F.broadcast(plan) if sum(blocks.values()) <= most_broadcast else plan, ["_s", "_chunk"], "left")
+    of_block = lambda name: F.get(name, (F.col("_block") % CHUNK).cast("int"))
+    placed = placed.withColumn("_slot", of_block("_slots"))
+    return placed.select(
         *kept,
-        F.col("_block").alias("mix_block"),
-        F.floor(F.col("_block") * period / F.col("_q")).alias("mix_release"),
-        F.ceil((F.col("_block") + 1) * period / F.col("_q")).alias("mix_deadline"),
+        F.when(F.col("_slot").isNotNull(), F.col("_block")).alias("mix_block"),
+        of_block("_releases").alias("mix_release"),
+        of_block("_deadlines").alias("mix_deadline"),
         F.col("_slot").alias("mix_slot"),
         (F.col("_slot") * block + F.col("_rank") % block).alias("mix_position"),
         F.coalesce(F.col("_slot") < horizon, F.lit(False)).alias("in_mix"),
