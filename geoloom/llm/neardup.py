@@ -1,12 +1,12 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and exact verification.
 
-A document's distinct shingles carry weights. Each shingle is a Poisson process
-whose rate is its weight; every arrival falls into one of the registers, and a
+Each of a document's distinct shingles is a Poisson process of the same rate,
+however often it occurs; every arrival falls into one of the registers, and a
 register keeps its earliest arrival. A shingle stops arriving once it is later
-than the document's latest register. Two documents' registers agree with
-probability equal to their probability Jaccard similarity. Documents that agree
-on a band of registers are candidates, and candidates are verified by the exact
-Jaccard similarity of their shingle sets.
+than the document's latest register. With equal rates, two documents' registers
+agree with probability equal to the Jaccard similarity of their shingle sets.
+Documents that agree on a band of registers are candidates, and candidates are
+verified by the exact Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -73,19 +73,18 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = BANDS * ROWS)
     if not sum(sizes):
         return q.astype(np.uint32)
     element = np.concatenate([s for s, _ in sets])
-    rate = 1 + np.log(np.concatenate([c for _, c in sets]))
     doc = np.repeat(np.arange(len(sets)), sizes)
     at = np.zeros(len(element))
     step = 0
     while len(element):
         step += 1
         draw = mixed(element + np.uint64((step * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF))
-        at = at - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
+        at = at - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
         register = ((mixed(draw) >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         packed = at.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32) | element >> np.uint64(32)
         np.minimum.at(flat, doc * m + register, packed)
         active = packed < q.max(axis=1)[doc]
-        element, rate, doc, at = element[active], rate[active], doc[active], at[active]
+        element, doc, at = element[active], doc[active], at[active]
     return q.astype(np.uint32)  # the low half: which shingle holds the register
 
 

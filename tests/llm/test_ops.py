@@ -213,6 +213,20 @@ def test_near_duplicates_equal_all_pairs(spark, odd, none):
     assert again.columns == odd.columns and neardup.keep_one(none).count() == 0
 
 
+def test_near_duplicates_that_differ_in_repeats(spark):
+    of_word, rows = neardup.WordHash(), []
+    for k in range(12):
+        passage, rest = (" ".join(f"{c}{k}x{n}" for n in range(size)) for c, size in (("p", 54), ("r", 104)))
+        rows += [(2 * k, f"{passage} {rest}"), (2 * k + 1, f"{' '.join([passage] * 2000)} {rest}")]
+    sets = [neardup.shingles(t, of_word) for _, t in rows]
+    registers = neardup.signatures(sets)
+    for k in range(0, 24, 2):
+        assert neardup.jaccard(sets[k][0], sets[k + 1][0]) > 0.95
+        assert (registers[k] == registers[k + 1]).mean() >= neardup.ESTIMATE
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()} == {k: k - k % 2 for k in range(24)}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     assert {r.node: r.label for r in components(edges).collect()} == {k: 0 for k in range(41)} | {100: 100, 101: 100}
