@@ -101,21 +101,28 @@ def grow(sample: np.ndarray, branches: int = 8, leaf: int = 64, seed: int = 5) -
 
 
 def nearest(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each query the k nearest rows of another id: (query's number, row's number, distance), ties to the smaller id.
+    """Of each query the k nearest other ids, each at its nearest row: (query's number, row's number, distance), ties to the smaller id.
 
     A matrix product finds who may be among them; the distances given are those of the vectors' differences.
     """
     out = []
-    for begin in range(0, len(queries), 64):
+    by_id = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[:1]] - 1))
+    last = min(k, len(starts)) - 1
+    for begin in range(0, len(queries) if len(rows) else 0, 64):
         q = queries[begin : begin + 64]
         near = distances(q, rows)
         near[ids[None] == own[begin : begin + 64, None]] = np.inf
-        kth = np.partition(near, min(k, len(rows)) - 1, axis=1)[:, min(k, len(rows)) - 1]
+        of_ids = near if len(starts) == len(rows) else np.minimum.reduceat(near[:, by_id], starts, axis=1)
+        kth = np.partition(of_ids, last, axis=1)[:, last]
         slack = 1e-9 * (1 + (q * q).sum(axis=1) + float((rows * rows).sum(axis=1).max(initial=0)))
         for r in range(len(q)):
             at = np.flatnonzero((near[r] <= kth[r] + slack[r]) & np.isfinite(near[r]))
             exact = np.sqrt(((q[r] - rows[at]) ** 2).sum(axis=1))
-            best = np.lexsort((ids[at], exact))[:k]
+            best = np.lexsort((ids[at], exact))
+            if len(starts) < len(rows):
+                best = best[np.sort(np.unique(ids[at[best]], return_index=True)[1])]
+            best = best[:k]
             out.append((np.full(len(best), begin + r), at[best], exact[best]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2 + (np.empty(0),)
 
@@ -145,7 +152,7 @@ def search(
 
     Fitted on at most `sample_rows` rows and calibrated on at most `calibration`
     queries, both picked by a hash of the id; the calibration's true neighbours
-    and the index cover every row. A search that meets no more than k rows goes
+    and the index cover every row. A search that meets no more than k ids goes
     on until it does or all leaves are visited.
 
     Unusable vectors, null ids and vectors whose length isn't the commonest (the
@@ -187,15 +194,18 @@ def search(
                 q, r, d = nearest(vectors, own, stacked(batch.column("v")), ids, k)
                 yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(ids[r]), pa.array(leaf[r]), pa.array(d)], ["query_id", "vec_id", "leaf", "score"])
 
-    true = best(indexed.mapInArrow(truth, "query_id bigint, vec_id bigint, leaf int, score double"), k).collect()
+    true = indexed.mapInArrow(truth, "query_id bigint, vec_id bigint, leaf int, score double").groupBy("query_id", "vec_id")
+    true = best(true.agg(F.min(F.struct("score", "leaf")).alias("x")).select("query_id", "vec_id", "x.leaf", "x.score"), k).collect()
     position = {r.vec_id: {leaf: n for n, leaf in enumerate(tree.order(np.array(r.v)), 1)} for r in trial}
     needed = sorted(position[r.query_id][r.leaf] for r in true)
     visits = needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)] if needed else 1
     held = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # as many as leaves
-    plan = spark.sparkContext.broadcast((tree, visits, held))
+    homes = indexed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count()  # an id counts in one leaf only
+    others = {r.leaf: r["count"] for r in homes.collect()}
+    plan = spark.sparkContext.broadcast((tree, visits, held, others))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, visits, held = plan.value
+        tree, visits, held, others = plan.value
         for batch in batches:
             at, leaves, blocks = [], [], []
             for n, v in enumerate(stacked(batch.column("v"))):
@@ -203,7 +213,7 @@ def search(
                 for place, leaf in enumerate(tree.order(v)):
                     if place >= visits and met > k:
                         break
-                    met += held.get(leaf, 0)
+                    met += others.get(leaf, 0)
                     for block in range(-(-held.get(leaf, 0) // BLOCK)):
                         at.append(n)
                         leaves.append(leaf)

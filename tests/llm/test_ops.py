@@ -256,6 +256,32 @@ def test_neighbours(spark):
     assert neighbours.search(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.standard_normal(8)) for k in range(1500) for _ in range(1 + k % 2)]
+    rows += rows
+    rows += [(7, rows[0][1] + 1e-3 * rng.standard_normal(8)) for _ in range(200)]  # near id 0, and in many rows
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in rows], "vec_id long, embedding array<double>")
+    got, hit = {}, 0
+    for r in neighbours.search(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    x, ids = np.array([v for _, v in rows]), np.array([k for k, _ in rows])
+    for q in range(0, 1500, 100):
+        v = x[ids == q][0]
+        d = {}
+        for k, s in zip(ids.tolist(), np.sqrt(((x - v) ** 2).sum(axis=1)).tolist()):
+            d[k] = min(s, d.get(k, s))
+        want = sorted((s, k) for k, s in d.items() if k != q)[:10]
+        assert [r for r, _ in sorted(got[q])] == list(range(1, 11)) and len({v for _, v in got[q]}) == 10
+        hit += len({k for _, k in want} & {v for _, v in got[q]})
+    assert set(got) == set(range(0, 1500, 100)) and hit / 150 >= 0.9 and sorted(got[0])[0] == (1, 7)
+    few = rng.standard_normal((30, 8))  # one leaf: exact
+    twice = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(few)] * 2, "vec_id long, embedding array<double>")
+    found = sorted((r.query_id, r["rank"], r.vec_id) for r in neighbours.search(twice, F.lit(True)).collect())
+    near = lambda q: [k for k in np.argsort(((few - few[q]) ** 2).sum(axis=1)).tolist() if k != q][:10]
+    assert found == [(q, n, k) for q in range(30) for n, k in enumerate(near(q), 1)]
+
+
 def test_main_text(spark):
     page = lambda n: f"<html><body><header>Site</header><div class='cookie-bar'>We</div><nav><a>m</a></nav><main><article><h1>T{n} &amp; x</h1><p>One {n}  two\n<p>More {n * 7}<ul><li>a{n}</ul><div>Read on at our shop</div><form>f</form></article></main><div id=comments>c{n}</div><footer>z</footer>"
     rows = [(n, "http://h.example/x", page(n)) for n in range(8)] + [(20, None, None), (21, "http://o.example", ""), (22, "http://o.example", "plain  text"), (23, "bad url", "<div>a<div>b</div>c</div><p")]
