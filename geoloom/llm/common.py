@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of just this name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package's modules to the Python workers, once a context, so that no path of theirs needs to hold it."""
     sc = spark.sparkContext

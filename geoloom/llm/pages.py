@@ -1,10 +1,12 @@
 """Main text of web pages by wrapper induction.
 
-Some pages of each host are parsed and their DOM trees aligned by simple tree
-matching. Nodes that say the same on every page are the host's template; where
-they vary lies its content. The induced wrapper is the way to the node that
-holds the varying text, and the constant blocks to leave out below it. It is
-then applied to every page of the host.
+Some pages of each host are parsed, grouped by layout, and the DOM trees of a
+layout aligned by simple tree matching into one template tree. Slots that say the
+same on most pages are the template; slots that vary are content. The induced
+wrapper is the template tree with its content slots marked, and its constant
+blocks. Every page of the host is aligned with it, and what lands in the content
+slots is the main text. Tag and class names don't choose the content; they are asked about
+what varies, as alignment can't tell an advert that changes from an article.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import cut, ship, table
+from geoloom.llm.common import column, cut, ship, table
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -40,26 +43,35 @@ ENDS = {
     "th": ({"td", "th"}, {"table", "tr"}),
     "option": ({"option"}, {"select"}),
 }
-#: Elements that never hold the article's words.
-LEFT_OUT = set("head script style noscript template iframe object svg canvas math audio video form button select textarea input nav aside footer dialog menu title xmp noembed noframes".split())
-#: Class, id and role names that say so.
+#: Elements that aren't shown as text, and forms.
+LEFT_OUT = set("head script style noscript template iframe object svg canvas math audio video form button select textarea input dialog title xmp noembed noframes".split())
+#: Elements around articles, and class, id and role names that say so.
+AROUND = {"nav", "aside", "footer", "menu"}
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promos?|promotion|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|"
     r"share|sharing|social|sidebar|related|recommended|recommendations|trending|comments?|disqus|discussion|respond|replies|menu|nav|navbar|navigation|breadcrumbs?|footer|contentinfo|complementary|"
     r"masthead|pagination|pager|widget|toolbar|login|search|skip|disclaimer|copyright|legal)(?:$|[\s_-])"
 )
 SPACE = re.compile(r"\s+")
-#: Bounds of the fit: pages of a host, children of a node that are aligned, levels.
-PAGES, CHILDREN, LEVELS = 6, 60, 40
+#: Pages of a host that its wrapper is fitted on.
+PAGES = 16
+#: The share of a layout's pages that a constant text is on, and of the varying text that the content holds; how alike pages of a layout are.
+CONSTANT, CONTENT, ALIKE = 0.6, 0.8, 0.6
 
 
 class Node:
-    __slots__ = ("tag", "label", "parent", "kids", "out", "n", "vary")
+    """out: never text. hint: a name says that it is none of the article's."""
 
-    def __init__(self, tag: str, label: str, parent: Node | None, out: bool):
-        self.tag, self.label, self.parent, self.out = tag, label, parent, out
+    __slots__ = ("tag", "label", "parent", "kids", "out", "hint", "shape", "n")
+
+    def __init__(self, tag: str, label: str, parent: Node | None, out: bool = False, hint: bool = False):
+        self.tag, self.label, self.parent, self.out, self.hint = tag, label, parent, out, hint
         self.kids: list[Node | str] = []
-        self.n = self.vary = 0
+        self.shape = self.n = 0
+
+    @property
+    def below(self) -> list[Node]:
+        return [k for k in self.kids if isinstance(k, Node)]
 
 
 def parse(page: str) -> list[Node]:
@@ -97,9 +109,11 @@ def parse(page: str) -> list[Node]:
                 marks = " ".join(x for k in ("class", "id", "role") if (x := found.get(k)))
                 hidden = "hidden" in found
                 marks = re.sub(r"\d+", "#", marks.lower())
-            node = Node(tag, f"{tag} {marks}" if marks else tag, top, hidden or tag in LEFT_OUT or bool(marks and HINT.search(marks)) and tag not in ("article", "main"))
-            if tag == "header" and not any(a.tag in ("article", "main") for a in above(node)):
-                node.out = True
+            node = Node(tag, f"{tag} {marks}" if marks else tag, top, hidden or tag in LEFT_OUT)
+            if tag == "header":
+                node.hint = not any(a.tag in ("article", "main") for a in above(node))
+            else:
+                node.hint = tag in AROUND or bool(marks and HINT.search(marks)) and tag not in ("article", "main")
             top.kids.append(node)
             nodes.append(node)
             if tag in RAW:
@@ -126,109 +140,304 @@ def above(node: Node) -> Iterator[Node]:
         yield node
 
 
-def path(node: Node) -> str:
-    return "/".join([node.label, *(a.label for a in above(node))])
-
-
 def own_text(node: Node) -> str:
     return SPACE.sub(" ", entities.unescape(" ".join(k for k in node.kids if isinstance(k, str)))).strip()
 
 
-def weigh(nodes: list[Node]) -> None:
-    """Sets vary and n: letters of own varying text become those of the subtree, without what is left out."""
+class Shapes:
+    """Trees without their texts, numbered so that equal ones have one number; and simple tree matching of them."""
+
+    def __init__(self):
+        self.number: dict[tuple, int] = {}
+        self.label: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        self.scores: dict[tuple[int, int], int] = {}
+
+    def add(self, nodes: list[Node]) -> None:
+        """Numbers the subtree of each node; parents come before their children."""
+        for node in reversed(nodes):
+            key = node.label, *(k.shape for k in node.below)
+            if (n := self.number.setdefault(key, len(self.size))) == len(self.size):
+                self.label.append(node.label)
+                self.kids.append(key[1:])
+                self.size.append(1 + sum(self.size[k] for k in key[1:]))
+            node.shape = n
+
+    def known(self, a: int, b: int) -> int:
+        return self.size[a] if a == b else 0 if self.label[a] != self.label[b] else self.scores[a, b]
+
+    def score(self, a: int, b: int) -> int:
+        """Nodes of the largest mapping that puts root on root, children on children, and keeps their order; 0 for roots of different labels.
+
+        Without recursion, as pages may nest deeply.
+        """
+        todo = [(a, b)] if a != b and self.label[a] == self.label[b] else []
+        while todo:
+            pair = todo[-1]
+            if pair in self.scores:
+                todo.pop()
+                continue
+            x, y = self.kids[pair[0]], self.kids[pair[1]]
+            first, last = ends(x, y)
+            x_mid, y_mid = x[first : len(x) - last], y[first : len(y) - last]
+            wanted = [(i, j) for i in set(x_mid) for j in set(y_mid) if i != j and self.label[i] == self.label[j] and (i, j) not in self.scores]
+            if wanted:
+                todo += wanted
+                continue
+            same = sum(self.size[k] for k in (*x[:first], *x[len(x) - last :]))
+            self.scores[pair] = 1 + same + self.table(x_mid, y_mid)[-1][-1]
+            todo.pop()
+        return self.known(a, b)
+
+    def table(self, x: tuple[int, ...], y: tuple[int, ...]) -> list[list[int]]:
+        """The best sums of scores over order-keeping pairs of the first i of x and the first j of y."""
+        rows = [[0] * (len(y) + 1)]
+        for i in x:
+            before, row = rows[-1], [0]
+            for k, j in enumerate(y):
+                row.append(max(before[k + 1], row[k], before[k] + self.known(i, j)))
+            rows.append(row)
+        return rows
+
+    def aligned(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        """The children of two nodes of one label that the mapping puts on each other, in order."""
+        x, y = a.below, b.below
+        xs, ys = tuple(k.shape for k in x), tuple(k.shape for k in y)
+        self.score(a.shape, b.shape)
+        first, last = ends(xs, ys)
+        x_mid, y_mid = xs[first : len(xs) - last], ys[first : len(ys) - last]
+        for i in set(x_mid):
+            for j in set(y_mid):
+                self.score(i, j)
+        m, i, j = self.table(x_mid, y_mid), len(x_mid), len(y_mid)
+        pairs = []
+        while i and j:
+            s = self.known(x_mid[i - 1], y_mid[j - 1])
+            if s and m[i][j] == m[i - 1][j - 1] + s:
+                i, j = i - 1, j - 1
+                pairs.append((x[first + i], y[first + j]))
+            elif m[i][j] == m[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+        return [*zip(x[:first], y[:first], strict=True), *reversed(pairs), *zip(x[len(x) - last :], y[len(y) - last :], strict=True)]
+
+
+def ends(x: tuple, y: tuple) -> tuple[int, int]:
+    """How many equal trees begin and end both rows of children: some best mapping pairs them, as no pair can score more."""
+    short = min(len(x), len(y))
+    first = last = 0
+    while first < short and x[first] == y[first]:
+        first += 1
+    while last < short - first and x[-1 - last] == y[-1 - last]:
+        last += 1
+    return first, last
+
+
+def below_all(root: Node) -> list[Node]:
+    """The nodes of the tree in page order, each after its parent."""
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        todo += reversed(node.below)
+    return out
+
+
+def slot(node: Node) -> tuple:
+    """Siblings of one label are one slot: alignment can't tell them apart."""
+    return id(node.parent), node.label
+
+
+class Template:
+    """The merged tree of a layout. texts: of each node, its own text on each page that has it. said: of each slot, on how many pages it has a text."""
+
+    def __init__(self, root: Node):
+        self.root, self.pages = root, 0
+        self.texts: dict[int, list[str]] = {}
+        self.said: dict[tuple, Counter] = {}
+        self.take([(x, x) for x in below_all(root)])
+
+    def take(self, pairs: list[tuple[Node, Node]]) -> None:
+        self.pages += 1
+        on_page: dict[tuple, set[str]] = {}
+        for mine, other in pairs:
+            self.texts.setdefault(id(mine), []).append(text := own_text(other))
+            on_page.setdefault(slot(mine), set()).add(text)
+        for key, texts in on_page.items():
+            self.said.setdefault(key, Counter()).update(texts)
+
+    def constant(self, node: Node) -> set[str]:
+        """What the node's slot says on at least the share CONSTANT of three pages or more."""
+        return {t for t, n in self.said[slot(node)].items() if t and self.pages >= 3 and n >= CONSTANT * self.pages}
+
+    def merge(self, root: Node, shapes: Shapes) -> None:
+        """Aligns one more page: its nodes lie on the template's, or join it beside the ones before them."""
+        pairs, todo, grown = [], [(self.root, root)], []
+        while todo:
+            mine, other = todo.pop()
+            pairs.append((mine, other))
+            found = {id(y): x for x, y in shapes.aligned(mine, other)}
+            todo += [(x, y) for y in other.below if (x := found.get(id(y))) is not None]
+            if len(found) < len(other.below):
+                grown.append((mine, other, found))
+        for mine, other, found in grown:
+            after: dict[int | None, list[Node]] = {}
+            last = None
+            for y in other.below:
+                if (x := found.get(id(y))) is not None:
+                    last = id(x)
+                else:
+                    y.parent = mine
+                    after.setdefault(last, []).append(y)
+                    pairs += [(z, z) for z in below_all(y)]
+            mine.kids = [*after.get(None, []), *(z for k in mine.kids for z in ([k, *after.get(id(k), [])] if isinstance(k, Node) else [k]))]
+        self.take(pairs)
+        if grown:
+            shapes.add(below_all(self.root))
+
+
+def way(node: Node, top: Node) -> str:
+    """The labels from the node up to below `top`."""
+    out = []
+    while node is not top:
+        out.append(node.label)
+        node = node.parent
+    return "/".join(out)
+
+
+def mass(nodes: list[Node], names: bool) -> None:
+    """Sums n over subtrees, without what is never text and, with names, without what names leave out."""
     for node in reversed(nodes):
-        if node.out:
-            node.vary = node.n = 0
+        if node.out or names and node.hint:
+            node.n = 0
         if node.parent is not None:
-            node.parent.vary += node.vary
             node.parent.n += node.n
 
 
-def container(nodes: list[Node]) -> Node:
-    """The node of the content: an article or main element that holds half of the varying text, else the lowest that holds most of it."""
-    root = nodes[0]
-    named = [x for x in nodes if x.tag in ("article", "main") or "main" in x.label.split()[1:]]
-    named = [x for x in named if not x.out and not any(a.out for a in above(x)) and 2 * x.vary >= root.vary > 0]
-    if named:
-        return min(reversed(named), key=lambda x: (x.vary, x.tag != "article"))
+def densest(root: Node) -> Node:
+    """The lowest node that holds the share CONTENT of its parent's n, and so on from the root; the article around it, if a tag names one."""
     now = root
-    while True:
-        below = max((k for k in now.kids if isinstance(k, Node) and k.tag in BLOCK and k.tag not in ("p", "li", "td", "th", "tr")), key=lambda k: k.vary, default=None)
-        if below is None or below.out or 10 * below.vary < 8 * now.vary or not below.vary:
-            return now
-        now = below
-
-
-def matching(a: Node, b: Node, level: int = 0) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: size of the largest order-keeping mapping of the trees, roots on roots, and the mapped pairs."""
-    if a.label != b.label:
-        return 0, []
-    if level >= LEVELS:
-        return 1, [(a, b)]
-    x = [k for k in a.kids if isinstance(k, Node)][:CHILDREN]
-    y = [k for k in b.kids if isinstance(k, Node)][:CHILDREN]
-    below = [[matching(i, j, level + 1) for j in y] for i in x]
-    m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x)):
-        for j in range(len(y)):
-            m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + below[i][j][0])
-    pairs, i, j = [(a, b)], len(x), len(y)
-    while i and j:
-        if below[i - 1][j - 1][0] and m[i][j] == m[i - 1][j - 1] + below[i - 1][j - 1][0]:
-            pairs += below[i - 1][j - 1][1]
-            i, j = i - 1, j - 1
-        elif m[i][j] == m[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return 1 + m[-1][-1], pairs
+    while (best := max((k for k in now.below if k.tag in BLOCK and k.tag not in ("p", "li", "td", "th", "tr")), key=lambda k: k.n, default=None)) is not None:
+        if not best.n or best.n < CONTENT * now.n:
+            break
+        now = best
+    named = [x for x in (now, *above(now)) if x.tag in ("article", "main")]
+    return next((x for x in named if x.tag == "article"), named[0] if named else now)
+
+
+def headings(content: Node) -> list[Node]:
+    """Headings beside the content or a node around it, before it."""
+    out = []
+    for node in (content, *above(content)):
+        if node.parent is not None:
+            kids = node.parent.below
+            out += [k for k in kids[: [id(k) for k in kids].index(id(node))] if k.tag in ("h1", "h2") and not k.hint]
+    return out
 
 
-def induce(pages: list[str]) -> dict:
-    """The wrapper of a host: the content's path, and (path, text) of constant blocks below it.
+def induce(pages: list[str]) -> list[dict]:
+    """The wrappers of a host, one a layout, the layout of most pages first.
 
-    Blocks count as constant only where four different pages or more all have
-    them in the same place, and only if they are the smaller part of the content:
-    pages that are copies of each other say nothing about a template.
+    Pages whose longest block is the same are copies and count once. A page joins the
+    layout whose template it matches best, if that maps the share ALIKE of the
+    smaller tree. Constant blocks are left out of the content unless they are most of it.
     """
-    trees = [parse(p) for p in dict.fromkeys(pages)]
-    first = trees[0]
-    seen: dict[int, list[str]] = {id(x): [own_text(x)] for x in first}
-    for other in trees[1:]:
-        for a, b in matching(first[0], other[0])[1]:
-            seen[id(a)].append(own_text(b))
-    constant = [x for x in first if len(trees) > 1 and len(texts := seen[id(x)]) == len(trees) and texts[0] and len(set(texts)) == 1]
-    fixed = {id(x) for x in constant}
-    for x in first:
-        x.n = len(own_text(x))
-        x.vary = 0 if id(x) in fixed else x.n
-    weigh(first)
-    if not first[0].vary:
-        for x in first:
-            x.vary = x.n = len(own_text(x))
-        weigh(first)
+    shapes, layouts, seen = Shapes(), [], set()
+    for page in dict.fromkeys(pages):
+        nodes = parse(page)
+        longest = max((own_text(x) for x in nodes if not x.out), key=len)
+        if longest in seen:
+            continue
+        seen.add(longest)
+        shapes.add(nodes)
+        scored = [(shapes.score(t.root.shape, nodes[0].shape) / min(shapes.size[t.root.shape], len(nodes)), -k) for k, t in enumerate(layouts)]
+        if scored and max(scored)[0] >= ALIKE:
+            layouts[-max(scored)[1]].merge(nodes[0], shapes)
+        else:
+            layouts.append(Template(nodes[0]))
+    return [wrapper(t) for t in sorted(layouts, key=lambda t: -t.pages) if t.pages > 1]
+
+
+def wrapper(template: Template) -> dict:
+    """tree: of the template's nodes in page order the label, whether it is a content slot, and its parent's place. constant: (way from the content, text) of the constant blocks in it."""
+    nodes = below_all(template.root)
+    fixed = {key: template.constant(x) for x in nodes if (key := slot(x))}
+    for names in (True, False):
+        for x in nodes:
+            x.n = sum(len(t) for t in template.texts[id(x)] if t not in fixed[slot(x)])
+        mass(nodes, names)
+        if template.root.n:
+            break
+    content = densest(template.root)
+    inner = [x for x in below_all(content) if x is not content]
+    constant = sorted({(way(x, content), t) for x in inner for t in fixed[slot(x)]})
+    lengths = [(len(t), t in fixed[slot(x)]) for x in inner for t in template.texts[id(x)]]
+    if 2 * sum(n for n, same in lengths if same) > sum(n for n, _ in lengths):
         constant = []
-    content = container(first)
-    left = []
-    if len(trees) >= 4 and 2 * content.vary >= content.n:
-        left = [[path(x), own_text(x)] for x in constant if x is not content and content in above(x)]
-    return {"content": path(content), "constant": left}
-
-
-def extract(page: str | None, wrapper: dict | None) -> str:
-    """The page's main text: the wrapper's content, or the page's own best node where the wrapper doesn't fit."""
+    slots = {id(x) for x in (content, *headings(content)) if x is content or not fixed[slot(x)]}
+    place = {id(x): k for k, x in enumerate(nodes)}
+    return {"tree": [[x.label, id(x) in slots, place.get(id(x.parent), -1)] for x in nodes], "constant": constant}
+
+
+class Wrapper:
+    """An induced wrapper, ready to be laid on pages."""
+
+    def __init__(self, made: dict, shapes: Shapes):
+        self.shapes, self.constant, self.slots, self.ways = shapes, {tuple(x) for x in made["constant"]}, set(), set()
+        self.nodes: list[Node] = []
+        for label, wanted, parent in made["tree"]:
+            node = Node(label.partition(" ")[0], label, self.nodes[parent] if parent >= 0 else None)
+            self.nodes.append(node)
+            if parent >= 0:
+                node.parent.kids.append(node)
+            if wanted:
+                self.slots.add(id(node))
+                self.ways |= {id(node), *map(id, above(node))}
+        shapes.add(self.nodes)
+
+    def fit(self, root: Node) -> float:
+        a, b = self.nodes[0].shape, root.shape
+        return self.shapes.score(a, b) / min(self.shapes.size[a], self.shapes.size[b])
+
+    def contents(self, root: Node) -> list[Node]:
+        """The page's nodes that lie on content slots; only the way to them is aligned."""
+        out, todo = [], [(self.nodes[0], root)]
+        while todo:
+            mine, other = todo.pop()
+            if id(mine) in self.slots:
+                out.append(other)
+            else:
+                todo += [(x, y) for x, y in reversed(self.shapes.aligned(mine, other)) if id(x) in self.ways]
+        return out
+
+
+def unaided(nodes: list[Node]) -> list[Node]:
+    """Content of a page that no wrapper fits, by weight and names alone."""
+    for names in (True, False):
+        for x in nodes:
+            x.n = sum(len(k) - k.count(" ") for k in x.kids if isinstance(k, str))
+        mass(nodes, names)
+        if nodes[0].n:
+            break
+    named = [x for x in nodes if x.tag in ("article", "main") and 2 * x.n >= nodes[0].n > 0]
+    return [min(reversed(named), key=lambda x: (x.n, x.tag != "article"))] if named else [densest(nodes[0])]
+
+
+def extract(page: str | None, wrappers: list[Wrapper], shapes: Shapes) -> str:
+    """The page's main text: what lies in the content slots of the wrapper that fits best; without one, the page's own best node."""
     if not page:
         return ""
     nodes = parse(page)
-    for x in nodes:
-        x.vary = x.n = sum(len(k) - k.count(" ") for k in x.kids if isinstance(k, str))
-    weigh(nodes)
     contents: list[Node] = []
-    if wrapper:
-        last = wrapper["content"].partition("/")[0]
-        contents = [x for x in nodes if x.label == last and x.vary and path(x) == wrapper["content"]]
-    contents = contents or [container(nodes)]
-    constant = {tuple(x) for x in wrapper["constant"]} if wrapper else set()
+    constant: set[tuple[str, str]] = set()
+    if wrappers:
+        shapes.add(nodes)
+        best = max(wrappers, key=lambda w: w.fit(nodes[0])) if len(wrappers) > 1 else wrappers[0]
+        contents = best.contents(nodes[0])
+        constant = best.constant if contents else constant
+    contents = contents or unaided(nodes)
     blocks: list[str] = []
     now: list[str] = []
 
@@ -238,11 +447,7 @@ def extract(page: str | None, wrapper: dict | None) -> str:
             blocks.append(text)
         now.clear()
 
-    done: set[int] = set()
     for content in contents:
-        if any(id(a) in done for a in above(content)):
-            continue
-        done.add(id(content))
         todo: list[Node | str | None] = [content]
         while todo:
             item = todo.pop()
@@ -252,7 +457,7 @@ def extract(page: str | None, wrapper: dict | None) -> str:
                 now.append(item)
             elif item.tag == "br":
                 now.append(" ")
-            elif item is content or not item.out and not (constant and (path(item), own_text(item)) in constant):
+            elif item is content or not (item.out or item.hint or constant and (way(item, content), own_text(item)) in constant):
                 if item.tag in BLOCK:
                     close()
                     todo.append(None)
@@ -267,47 +472,47 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/@?#]*@)?([^/?#:]*)"
 def main_text(pages: DataFrame, url: str = "url", html: str = "html", out: str = "text", pages_per_host: int = PAGES, most_broadcast: int = 8_000_000) -> DataFrame:
     """Adds `out`, the main text of each page.
 
-    A host's wrapper is fitted on at most `pages_per_host` of its pages, picked
-    by a hash, and applied to all. Wrappers go out by broadcast if they measure
+    A host's wrappers are fitted on at most `pages_per_host` of its pages, picked
+    by a hash, and laid on all. They go out by broadcast if they measure
     at most `most_broadcast` bytes, else by a join that can split a hot host.
+    Children and levels are aligned without a bound.
 
     Null and empty pages give an empty text. Pages without a url share one
-    nameless host. Pages without markup are one block. Repeated rows stay, an
+    nameless host. On a host of a single page, and on pages that no wrapper fits, weight
+    and names alone decide. Pages without markup are one block. Repeated rows stay, an
     empty table stays empty, a column already named `out` is replaced.
     """
     spark = pages.sparkSession
     ship(spark)
     kept = [c for c in pages.columns if c.lower() != out.lower()]
-    host = F.lower(F.coalesce(F.regexp_extract(F.col(url), HOST, 1), F.lit("")))
-    draw = F.xxhash64(url, html)
-    ranked = pages.where(F.length(html) > 0).select(host.alias("_host"), F.col(html).alias("_html"), draw.alias("_draw"))
-    place = F.row_number().over(Window.partitionBy("_host").orderBy("_draw", F.md5("_html")))
+    host = F.lower(F.coalesce(F.regexp_extract(column(url), HOST, 1), F.lit("")))
+    ranked = pages.where(F.length(column(html)) > 0).select(host.alias("host"), column(html).alias("html"), F.xxhash64(column(url), column(html)).alias("draw"))
+    place = F.row_number().over(Window.partitionBy("host").orderBy("draw", F.md5("html")))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        ordered = group.sort_values("_draw")
-        return pd.DataFrame({"_host": [group["_host"].iloc[0]], "_wrapper": [json.dumps(induce(ordered["_html"].tolist()))]})
+        ordered = group.sort_values(["draw", "html"])
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrappers": [json.dumps(induce(ordered["html"].tolist()))]})
 
-    sample = ranked.withColumn("_place", place).where(F.col("_place") <= pages_per_host).drop("_place")
-    wrappers = cut(sample.groupBy("_host").applyInPandas(fit, "_host string, _wrapper string"))
-    size = wrappers.agg(F.sum(F.length("_wrapper") + F.length("_host"))).first()[0] or 0
+    sample = ranked.withColumn("place", place).where(F.col("place") <= pages_per_host).drop("place")
+    wrappers = cut(sample.groupBy("host").applyInPandas(fit, "host string, wrappers string"))
+    size = wrappers.agg(F.sum(F.length("wrappers") + F.length("host"))).first()[0] or 0
     side = F.broadcast(wrappers) if size <= most_broadcast else wrappers
-    joined = pages.select(*kept).withColumn("_host", host).join(side, "_host", "left").drop("_host")
-    schema = pages.select(*kept).schema.add(out, "string")
+    rows = pages.select(F.struct(*map(column, kept)).alias("row"), column(html).alias("html"), host.alias("host"))
+    schema = pages.select(*map(column, kept)).schema.add(out, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, dict | None] = {None: None}
+        shapes, ready = Shapes(), {None: []}
         for batch in batches:
-            names = batch.schema.names
             texts = []
-            for page, wrapper in zip(batch.column(names.index(html)), batch.column(names.index("_wrapper")).to_pylist(), strict=True):
-                if wrapper not in known:
-                    if len(known) > 1000:
-                        known = {None: None}
-                    known[wrapper] = json.loads(wrapper)
-                texts.append(extract(page.as_py(), known[wrapper]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in kept), pa.array(texts, pa.string())], [*kept, out])
-
-    return joined.mapInArrow(run, schema)
+            for page, made in zip(batch.column("html"), batch.column("wrappers").to_pylist(), strict=True):
+                if len(shapes.size) + len(shapes.scores) > 300_000 or len(ready) > 300:
+                    shapes, ready = Shapes(), {None: []}
+                if made not in ready:
+                    ready[made] = [Wrapper(w, shapes) for w in json.loads(made)]
+                texts.append(extract(page.as_py(), ready[made], shapes))
+            yield pa.RecordBatch.from_arrays([*batch.column("row").flatten(), pa.array(texts, pa.string())], [*kept, out])
+
+    return rows.join(side, "host", "left").select("row", "html", "wrappers").mapInArrow(run, schema)
 
 
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontam, language, mixing, neardup, neighbours, pages, pii, queries, secrets, tokens, toxicity
+from geoloom.llm import decontam, language, mixing, neardup, neighbours, pii, queries, secrets, tokens, toxicity
 from geoloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -282,16 +282,6 @@ def test_neighbours_of_repeated_ids(spark):
     assert found == [(q, n, k) for q in range(30) for n, k in enumerate(near(q), 1)]
 
 
-def test_main_text(spark):
-    page = lambda n: f"<html><body><header>Site</header><div class='cookie-bar'>We</div><nav><a>m</a></nav><main><article><h1>T{n} &amp; x</h1><p>One {n}  two\n<p>More {n * 7}<ul><li>a{n}</ul><div>Read on at our shop</div><form>f</form></article></main><div id=comments>c{n}</div><footer>z</footer>"
-    rows = [(n, "http://h.example/x", page(n)) for n in range(8)] + [(20, None, None), (21, "http://o.example", ""), (22, "http://o.example", "plain  text"), (23, "bad url", "<div>a<div>b</div>c</div><p")]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in pages.main_text(df).collect()}
-    assert {n: got[n] for n in range(8)} == {n: f"T{n} & x\nOne {n} two\nMore {n * 7}\na{n}" for n in range(8)}  # the shop's line is the template's
-    assert (got[20], got[21], got[22], got[23]) == ("", "", "plain text", "a\nb\nc")
-    assert pages.main_text(df.where("false")).count() == 0
-
-
 def test_queries_run_and_equal_their_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
