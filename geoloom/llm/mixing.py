@@ -4,79 +4,149 @@ A source's documents form blocks. With the share w of the mixture, a source's
 block k (from 0) is released at slot floor(k / w) and due by slot ceil((k+1) / w).
 Earliest deadline first gives each slot to a released block. As the shares sum
 to one, every block is in time, so at any slot a source is less than one block
-from its share. Shares are exact rationals, so this holds over the whole
-mixture. The driver schedules blocks; placing rows is DataFrame functions.
+from its share.
+
+At any slot a source has had the whole part of its share, or one block more. So
+the state of the schedule is small, and stretches of slots are scheduled side by
+side: each starts from a state that can go on (the sources one block ahead are
+those of the earliest deadlines), and is done again while the stretch before it
+ends in another one. When all agree, the stretches are the one schedule. All in
+DataFrame functions.
 """
 
 from __future__ import annotations
 
-import heapq
-from array import array
+import json
+import math
+from collections.abc import Callable
 from fractions import Fraction
-from math import gcd, lcm
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import table
+from geoloom.llm.common import column, cut, table
 
-SLOTS = 1000
-#: Blocks of a source in a row of the schedule.
-CHUNK = 1024
+#: The shares are whole parts of this; over 2**40 slots that moves a source by less than 2**-20 of a block for each source.
+SCALE = 2**60
+#: Slots in a stretch.
+STRETCH = 512
+#: Later deadlines count as this one.
+LATEST = 2**62
 
 
 def shares(weights: dict[str, float]) -> dict[str, int]:
-    """The positive weights in whole numbers, in exactly the same proportions."""
+    """The positive weights in parts of SCALE, at least one each; what rounding leaves goes to the greatest."""
     exact = {k: Fraction(w) for k, w in weights.items() if w > 0}
-    below = lcm(*[w.denominator for w in exact.values()])
-    whole = {k: int(w * below) for k, w in exact.items()}
-    common = gcd(*whole.values())
-    return {k: w // common for k, w in whole.items()}
+    total = sum(exact.values())
+    out = {k: max(1, math.floor(w * SCALE / total)) for k, w in exact.items()}
+    if out:
+        out[max(sorted(out), key=out.__getitem__)] += SCALE - sum(out.values())
+    return out
 
 
-def schedule(share: dict[str, int], blocks: dict[str, int], most: int = 2**62) -> tuple[dict[str, tuple[array, array, array]], int]:
-    """Release, deadline and slot of each source's blocks, by earliest deadline first, ties to the first source in order; and the first slot of a block that some source lacks.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is made once."""
+    return F.transform(F.array(value), body)[0]
 
-    Blocks released at `most` or later get no place; deadlines end there.
+
+def wide(x: Column | int) -> Column:
+    return (F.lit(x) if isinstance(x, int) else x).cast("decimal(19,0)")
+
+
+def parts(a: Column, b: Column, by: Column) -> Column:
+    """a * b div `by` and whether a rest stays; exact up to 38 digits."""
+    return let(wide(a) * wide(b), lambda x: F.struct(F.call_function("div", x, wide(by)).alias("whole"), (x % wide(by)).cast("long").alias("rest")))
+
+
+def able(slot: Column, share: Column) -> Column:
+    """Blocks of each source before a slot: its share's whole part, and one more for as many sources of the earliest deadlines as slots are left."""
+    scale = F.lit(SCALE)
+    due = lambda k, p: let(parts(k + 1, scale, p), lambda x: x["whole"] + F.when(x["rest"] > 0, 1).otherwise(0))
+    had = F.transform(share, lambda p, i: let(parts(slot, p, scale), lambda x: F.struct(x["whole"].alias("k"), x["rest"].alias("rest"), due(x["whole"], p).alias("due"), i.cast("int").alias("i"))))
+
+    def ahead(had: Column) -> Column:
+        left = slot - F.aggregate(had, F.lit(0).cast("long"), lambda n, x: n + x["k"])
+        first = F.slice(F.array_sort(F.transform(F.filter(had, lambda x: x["rest"] > 0), lambda x: F.struct(x["due"], x["i"]))), F.lit(1), left.cast("int"))
+        return let(F.transform(first, lambda x: x["i"]), lambda chosen: F.transform(had, lambda x: x["k"] + F.when(F.array_contains(chosen, x["i"]), 1).otherwise(0)))
+
+    return let(had, ahead)
+
+
+PLACED = "array<struct<i:int,k:bigint,release:bigint,deadline:bigint>>"
+
+
+def scheduled(starts: DataFrame, share: Column, stretch: int) -> DataFrame:
+    """m, start (blocks of each source before the stretch) -> also placed, one block a slot, and stop: the blocks after it."""
+    scale = F.lit(SCALE)
+    source = F.zip_with(
+        F.col("start"),
+        share,
+        lambda k, p: let(
+            F.struct(parts(k, scale, p).alias("now"), parts(k + 1, scale, p).alias("next"), parts(F.lit(1), scale, p).alias("step")),
+            lambda x: F.struct(k.alias("k"), x["now"]["whole"].alias("release"), x["next"]["whole"].alias("then"), x["next"]["rest"].alias("rest"), p.alias("p"), x["step"]["whole"].alias("a"), x["step"]["rest"].alias("b")),
+        ),
+    )
+
+    def after(x: Column) -> Column:
+        over = x["rest"] + x["b"] >= x["p"]
+        return F.struct(
+            (x["k"] + 1).alias("k"), x["then"].alias("release"), (x["then"] + x["a"] + F.when(over, 1).otherwise(0)).alias("then"),
+            (x["rest"] + x["b"] - F.when(over, x["p"]).otherwise(0)).alias("rest"), x["p"].alias("p"), x["a"].alias("a"), x["b"].alias("b"),
+        )
+
+    def give(state: Column, slot: Column) -> Column:
+        waiting = F.transform(
+            state["sources"],
+            lambda x, i: F.when(x["release"] <= slot, F.struct((x["then"] + F.when(x["rest"] > 0, 1).otherwise(0)).alias("deadline"), i.cast("int").alias("i"), x["k"].alias("k"), x["release"].alias("release"))),
+        )
+        return let(
+            F.array_min(waiting),
+            lambda b: F.struct(
+                F.transform(state["sources"], lambda x, i: F.when(i == b["i"], after(x)).otherwise(x)).alias("sources"),
+                F.concat(state["placed"], F.array(F.struct(b["i"].alias("i"), b["k"].alias("k"), b["release"].alias("release"), b["deadline"].alias("deadline")))).alias("placed"),
+            ),
+        )
+
+    slots = F.sequence(F.col("m") * stretch, F.col("m") * stretch + (stretch - 1))
+    done = F.aggregate(slots, F.struct(source.alias("sources"), F.array().cast(PLACED).alias("placed")), give, lambda s: F.struct(s["placed"].alias("placed"), F.transform(s["sources"], lambda x: x["k"]).alias("stop")))
+    return starts.select("m", "start", done.alias("done")).select("m", "start", "done.placed", "done.stop")
+
+
+def schedule(spark: SparkSession, share: list[int], slots: int, stretch: int = STRETCH) -> DataFrame:
+    """i, k, release, deadline, slot: earliest deadline first over at least `slots` slots, ties to the first source."""
+    ps = F.array(*[F.lit(p).cast("long") for p in share])
+    starts = spark.range(-(-slots // stretch)).select(F.col("id").alias("m"), able(F.col("id") * stretch, ps).alias("start"))
+    done = cut(scheduled(starts, ps, stretch))
+    while not (late := cut(done.select((F.col("m") + 1).alias("m"), F.col("stop").alias("real")).join(done.select("m", "start"), "m").where("real <> start").select("m", F.col("real").alias("start")))).isEmpty():
+        done = cut(done.join(late, "m", "left_anti").unionByName(scheduled(late, ps, stretch)))
+    return done.select("m", F.posexplode("placed").alias("n", "x")).select("x.i", "x.k", "x.release", "x.deadline", (F.col("m") * stretch + F.col("n")).alias("slot"))
+
+
+def remaining(spark: SparkSession, share: list[int], had: list[int], blocks: list[int], slot: int) -> DataFrame:
+    """The blocks beyond those had, as schedule() names them: from `slot` on in order of deadlines, then sources, whatever their releases.
+
+    A block's place is counted, not sorted: of each source, how many blocks are due before it.
     """
-    total = sum(share.values())
-    out = {k: (array("q"), array("q"), array("q")) for k in share}
-    waiting = [(0, k) for k in sorted(share)]
-    ready: list[tuple[int, str, int]] = []
-    slot, horizon = 0, None
-    while waiting or ready:
-        if not ready:
-            slot = max(slot, waiting[0][0])
-        while waiting and waiting[0][0] <= slot:
-            release, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (min(most, -(-(len(out[k][0]) + 1) * total // share[k])), k, release))
-        deadline, k, release = heapq.heappop(ready)
-        if len(out[k][0]) == blocks[k]:
-            horizon = slot if horizon is None else horizon
-            continue
-        for held, x in zip(out[k], (release, deadline, slot), strict=True):
-            held.append(x)
-        slot += 1
-        if (release := len(out[k][0]) * total // share[k]) < most:
-            heapq.heappush(waiting, (release, k))
-    return out, slot if horizon is None else horizon
-
-
-def planned(spark: SparkSession, places: dict[str, tuple[array, array, array]]) -> DataFrame:
-    """_s, _chunk, _releases, _deadlines, _slots: the schedule, CHUNK blocks of a source in a row."""
-    names, chunks, ends = [], [], [0]
-    for s in sorted(places):
-        n = len(places[s][0])
-        for c in range(-(-n // CHUNK)):
-            names.append(s)
-            chunks.append(c)
-            ends.append(ends[-1] + min(CHUNK, n - c * CHUNK))
-    offsets = pa.array(ends, pa.int32())
-    flat = [np.concatenate([np.empty(0, np.int64), *[np.frombuffer(places[s][k], np.int64) for s in sorted(places)]]) for k in range(3)]
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in flat]
-    return spark.createDataFrame(pa.table([pa.array(names, pa.string()), pa.array(chunks, pa.int64()), *lists], ["_s", "_chunk", "_releases", "_deadlines", "_slots"]))
+    starts = [sum(b - h for b, h in zip(blocks[:i], had[:i], strict=True)) for i in range(len(share))]
+    known = F.from_json(F.lit(json.dumps([{"p": p, "h": h, "n": n, "f": f} for p, h, n, f in zip(share, had, blocks, starts, strict=True)])), "array<struct<p:bigint,h:bigint,n:bigint,f:bigint>>")
+    scale, latest = F.lit(SCALE), F.lit(LATEST)
+    rows = spark.range(sum(blocks) - sum(had)).withColumn("i", (F.size(F.filter(known, lambda x: (x["f"] <= F.col("id")) & (x["n"] > x["h"]))) - 1).cast("int"))
+    some = F.filter(F.transform(known, lambda x, i: F.struct(x["p"], x["h"], x["n"], x["f"], i.cast("int").alias("i"))), lambda x: x["n"] > x["h"])
+    rows = rows.select("id", F.get(some, F.col("i")).alias("own")).select("own.i", (F.col("own.h") + F.col("id") - F.col("own.f")).alias("k"), "own.p")
+    capped = lambda k: let(wide(k) * wide(scale), lambda x: F.when(x >= wide(latest) * wide(F.col("p")), latest).otherwise(let(parts(k, scale, F.col("p")), lambda y: y["whole"])))
+    rows = rows.withColumn("release", capped(F.col("k"))).withColumn("floor", capped(F.col("k") + 1))
+    rows = rows.withColumn("deadline", F.when((F.col("floor") < latest) & (parts(F.col("k") + 1, scale, F.col("p"))["rest"] > 0), F.col("floor") + 1).otherwise(F.col("floor")))
+    due = lambda x, by: F.greatest(x["h"], F.least(x["n"], parts(by, x["p"], scale)["whole"])) - x["h"]
+    before = F.aggregate(
+        some,
+        F.lit(0).cast("long"),
+        lambda n, x: n
+        + F.when(x["i"] == F.col("i"), F.col("k") - x["h"])
+        .when(x["i"] > F.col("i"), due(x, F.col("deadline") - 1))
+        .when(F.col("deadline") == latest, x["n"] - x["h"])
+        .otherwise(due(x, F.col("deadline"))),
+    )
+    return rows.select("i", "k", "release", "deadline", (before + slot).alias("slot"))
 
 
 def named(source: Column) -> Column:
@@ -84,68 +154,92 @@ def named(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
 
 
-def mix(
-    docs: DataFrame,
-    weights: dict[str | None, float] | None = None,
-    source: str = "source",
-    id: str = "doc_id",
-    block: int = 16,
-    slots: int = SLOTS,
-    rows_per_bucket: int = 500,
-    most_broadcast: int = 200_000,
-) -> DataFrame:
+NEW = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position", "in_mix"]
+
+
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", id: str = "doc_id", block: int = 16, rows_per_bucket: int = 2000, stretch: int = STRETCH, most_sources: int = 20_000) -> DataFrame:
     """Adds mix_block, mix_release, mix_deadline, mix_slot, mix_position and in_mix to every row.
 
     mix_position orders the mixture: slot * block + place in the block; it is
-    unique and has gaps where a source ran out. in_mix holds for slots before the
-    first block that some source lacks: there the shares are kept to within a
-    block. The rest follows by the same rule. weights: by source, of any scale;
-    by default the square roots of the sources' row counts. Sources without a
-    positive weight keep null columns and in_mix false, as do blocks whose place
-    would exceed a long. Weights of absent sources are ignored. No row is dropped.
-    slots: without effect; the schedule has no period.
-
-    Rows are numbered within a source by a hash of the id, in up to 65,536
-    buckets with running counts, so that a hot source is spread. Per source only
-    a count reaches the driver, which holds three numbers a block; the schedule
-    goes out by broadcast if it has at most `most_broadcast` blocks, else by a join. Null sources are a
-    source; null and repeated ids are rows like others; an empty table gives no
-    row. Columns already named as the new ones are replaced.
+    unique. in_mix holds for slots before the first block that some source lacks:
+    there the shares are kept to within a block. The other blocks follow in the
+    order of their deadlines. weights: by source, of any scale; by default the
+    square roots of the sources' row counts. Sources without a positive weight keep
+    null columns and in_mix false. Weights of absent sources are ignored. No row is
+    dropped.
+
+    Rows follow each other within a source by a hash of the id, then of all other
+    columns, at every size of the table. They are counted in buckets of that hash,
+    so that a hot source is spread; only rows equal in all columns can't be. The
+    rows, whatever they hold, are exchanged once, by about where they land in the
+    mixture; each bucket's slots come to them in the same exchange. A count and a
+    few numbers of each source reach the driver: more than `most_sources` of
+    them raise an error, as hosts or authors are no sources to weigh one by one.
+
+    Null sources are a source; null and repeated ids are rows like others; an
+    empty table gives no row. Columns already named as the new ones are replaced.
     """
     spark = docs.sparkSession
-    new = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position", "in_mix"]
-    kept = [c for c in docs.columns if c.lower() not in new]
-    name = named(F.col(source))
-    counts = {r["s"]: r["count"] for r in docs.groupBy(name.alias("s")).count().collect()}
+    kept = [c for c in docs.columns if c.lower() not in NEW]
+    name = named(column(source))
+    found = docs.groupBy(name.alias("s")).count().limit(most_sources + 1).collect()
+    if len(found) > most_sources:
+        raise ValueError(f"more than {most_sources} sources; merge them into classes first")
+    counts = {r["s"]: r["count"] for r in found}
     if weights is None:
         chosen = {s: n**0.5 for s, n in counts.items()}
     else:
         given = {"-" if k is None else f"={k}": w for k, w in weights.items()}
         chosen = {s: given.get(s, 0.0) for s in counts}
-    share = shares(chosen) if any(w > 0 for w in chosen.values()) else {}
-    blocks = {s: -(-counts[s] // block) for s in share}
-    places, horizon = schedule(share, blocks, 2**62 // block)
-    plan = planned(spark, places)
-
-    buckets = min(65_536, max(1, -(-sum(counts.values()) // rows_per_bucket)))
-    own = docs.select(*kept, name.alias("_s"), F.xxhash64(id).alias("_draw")).withColumn("_bucket", F.pmod("_draw", F.lit(buckets)).cast("int"))
-    sizes = own.groupBy("_s", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_s", "_bucket", (F.sum("_n").over(Window.partitionBy("_s").orderBy("_bucket")) - F.col("_n")).alias("_before"))
-    ties = [c for c, kind in docs.select(*kept).dtypes if not kind.startswith(("map", "variant", "interval"))]
-    inside = F.row_number().over(Window.partitionBy("_s", "_bucket").orderBy("_draw", *ties)) - 1
-    ranked = own.withColumn("_inside", inside).join(before, ["_s", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_inside"))
-    ranked = ranked.withColumn("_block", F.floor(F.col("_rank") / block)).withColumn("_chunk", F.floor(F.col("_block") / CHUNK))
-    placed = ranked.join(F.broadcast(plan) if sum(blocks.values()) <= most_broadcast else plan, ["_s", "_chunk"], "left")
-    of_block = lambda name: F.get(name, (F.col("_block") % CHUNK).cast("int"))
-    placed = placed.withColumn("_slot", of_block("_slots"))
-    return placed.select(
-        *kept,
-        F.when(F.col("_slot").isNotNull(), F.col("_block")).alias("mix_block"),
-        of_block("_releases").alias("mix_release"),
-        of_block("_deadlines").alias("mix_deadline"),
-        F.col("_slot").alias("mix_slot"),
-        (F.col("_slot") * block + F.col("_rank") % block).alias("mix_position"),
-        F.coalesce(F.col("_slot") < horizon, F.lit(False)).alias("in_mix"),
+    share = shares(chosen)
+    names = sorted(share)
+    ps, blocks = [share[s] for s in names], [-(-counts[s] // block) for s in names]
+    slots = min((-(-(n + 1) * SCALE // p) for p, n in zip(ps, blocks, strict=True)), default=0)  # by then some source has run out
+
+    listed = [{"s": s, "i": i, "n": counts[s], "b": blocks[i]} for i, s in enumerate(names)]
+    known = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(listed)), "array<struct<s:string,i:int,n:bigint,b:bigint>>")))
+    if names:
+        plan = cut(schedule(spark, ps, slots, stretch))
+        horizon = plan.join(F.broadcast(known), "i").where("k >= b").agg(F.min("slot")).first()[0]
+        seen = {r.i: r.n for r in plan.where(F.col("slot") < horizon).groupBy("i").agg((F.max("k") + 1).alias("n")).collect()}
+        had = [seen.get(i, 0) for i in range(len(names))]
+        plan = plan.where(F.col("slot") < horizon).unionByName(remaining(spark, ps, had, blocks, horizon))
+    else:
+        horizon, had = 0, []
+        none = [F.lit(None).cast(kind).alias(c) for c, kind in (("i", "int"), ("k", "long"), ("release", "long"), ("deadline", "long"), ("slot", "long"))]
+        plan = spark.range(0).select(*none)
+
+    # where in the mixture a bucket lands, about: the same for its rows and its slots
+    places = [{"s": s, "i": i, "n": counts[s], "h": had[i], "b": blocks[i], "w": ps[i] / SCALE} for i, s in enumerate(names)]
+    known = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(places)), "array<struct<s:string,i:int,n:bigint,h:bigint,b:bigint,w:double>>")))
+    rest = sum(blocks) - sum(had)
+    bits = max(1, min(20, math.ceil(math.log2(max(1, sum(counts.values()) / rows_per_bucket)))))
+    about = (F.col("bucket") / 2.0**bits + 0.5) * F.col("n") / block
+    about = F.when(about < F.col("h"), about / F.col("w")).otherwise(horizon + (about - F.col("h")) / F.greatest(F.col("b") - F.col("h"), F.lit(1)) * rest)
+    part = F.coalesce(F.floor(about / max(1, horizon + rest) * 100_000), F.lit(100_000) + F.pmod(F.col("bucket"), F.lit(1000))).cast("int")
+
+    draw = F.xxhash64(column(id))
+    kinds = docs.select(*map(column, kept)).dtypes
+    others = [column(c) for c, kind in kinds if c.lower() != id.lower() and not kind.startswith(("map", "variant", "interval"))]
+    own = docs.select(F.struct(*map(column, kept)).alias("row"), name.alias("s"), draw.alias("draw"), F.xxhash64(F.lit(1), *others).alias("again"))
+    own = own.join(F.broadcast(known), "s", "left").withColumn("bucket", F.shiftright("draw", 64 - bits))
+    sizes = docs.select(name.alias("s"), F.shiftright(draw, 64 - bits).alias("bucket")).groupBy("s", "bucket").count().join(F.broadcast(known), "s")
+    sizes = sizes.withColumn("before", F.sum("count").over(Window.partitionBy("i").orderBy("bucket")) - F.col("count"))
+    of_bucket = sizes.select("i", "bucket", "before", part.alias("part"), F.explode(F.sequence(F.floor(F.col("before") / block), F.floor((F.col("before") + F.col("count") - 1) / block))).alias("k"))
+    of_bucket = of_bucket.join(plan, ["i", "k"]).groupBy("part", "i", "bucket", "before").agg(F.sort_array(F.collect_list(F.struct("k", "release", "deadline", "slot"))).alias("slots"))
+    both = own.select(part.alias("part"), "i", "bucket", F.lit(1).alias("is_row"), "draw", "again", "row").unionByName(of_bucket.withColumn("is_row", F.lit(0)), allowMissingColumns=True)
+    inside = Window.partitionBy("part", "i", "bucket").orderBy("is_row", "draw", "again")
+    met = both.repartitionByRange("part").select("row", "is_row", F.first("slots").over(inside).alias("slots"), (F.first("before").over(inside) + F.row_number().over(inside) - 2).alias("rank")).where("is_row = 1")
+    own_block = F.floor(F.col("rank") / block)
+    met = met.select("row", "rank", F.get("slots", (own_block - F.col("slots")[0]["k"]).cast("int")).alias("at"))
+    return met.select(
+        *[F.col("row").getField(c).alias(c) for c in kept],
+        F.col("at.k").alias("mix_block"),
+        F.col("at.release").alias("mix_release"),
+        F.col("at.deadline").alias("mix_deadline"),
+        F.col("at.slot").alias("mix_slot"),
+        (F.col("at.slot") * block + F.col("rank") % block).alias("mix_position"),
+        F.coalesce(F.col("at.slot") < horizon, F.lit(False)).alias("in_mix"),
     )
 
 
