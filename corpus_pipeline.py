@@ -50,9 +50,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the place in the mixture of sources, and deals the rows out in that order; rows without a place come last."""
-    order = F.coalesce("mix_position", F.lit(2**63 - 1))
-    return mix(docs).repartitionByRange(order).sortWithinPartitions(order)
+    """Adds the place in the mixture of sources; mix deals the rows out by about their place, and each part is sorted. Rows without a place come last."""
+    return mix(docs).sortWithinPartitions(F.col("mix_position").asc_nulls_last())
 
 
 STAGES = [
