@@ -21,6 +21,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name that no column of the frame has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package's modules to the Python workers, once a context, so that no path of theirs needs to hold it."""
     sc = spark.sparkContext
@@ -41,12 +49,16 @@ def held_out(doc_id: Column) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of this context in the folder that the cluster shares.
 
-    That is the session's spark.checkpoint.dir. Only where it is unset (tests in
-    one process) a temporary folder is taken.
+    That is the session's spark.checkpoint.dir. Where it is unset, a local master
+    (tests in one process) takes a temporary folder; a cluster couldn't read it, so
+    there it is an error.
     """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="geoloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="geoloom-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 

@@ -157,7 +157,7 @@ def named(source: Column) -> Column:
 NEW = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position", "in_mix"]
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", id: str = "doc_id", block: int = 16, rows_per_bucket: int = 2000, stretch: int = STRETCH, most_sources: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", id: str = "doc_id", block: int = 16, rows_per_bucket: int = 500, stretch: int = STRETCH, most_sources: int = 20_000) -> DataFrame:
     """Adds mix_block, mix_release, mix_deadline, mix_slot, mix_position and in_mix to every row.
 
     mix_position orders the mixture: slot * block + place in the block; it is

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import table
+from geoloom.llm.common import column, table
 
 ROUNDS = 10
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -36,8 +36,10 @@ IBAN_LENGTHS = {
     23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
     29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
-#: Dates from 1900-01-01 to 2099-12-31: 17 * 4297 days.
-FIRST_DAY, DAY_PARTS = "1900-01-01", (17, 4297)
+#: Country codes of two digits, by their first digit; 1 and 7 are of one digit, all others of three.
+TWO_DIGIT_CODES = {"2": "07", "3": "0123469", "4": "013456789", "5": "12345678", "6": "0123456", "8": "1246", "9": "0123458"}
+#: Dates of so many years from this one on.
+FIRST_YEAR, YEARS = 1900, 200
 #: Areas 001-899 but 666, groups 01-99, serials 0001-9999.
 SSN_PARTS = (898 * 99, 9999)
 
@@ -69,16 +71,23 @@ def power(n: Column) -> Column:
     return F.concat(F.lit("1"), F.repeat(F.lit("0"), n)).cast("long")
 
 
-def permuted_digits(digits: Column, key: str, kind: str, back: bool) -> Column:
+def permuted_digits(digits: Column, key: str, kind: Column, back: bool) -> Column:
     """Another string of as many digits; up to 36."""
-    n = F.char_length(digits)
+    return let(digits, lambda d: let(F.char_length(d), lambda n: _permuted(d, n, key, kind, back)))
+
+
+def _permuted(digits: Column, n: Column, key: str, kind: Column, back: bool) -> Column:
     u = F.floor(n / 2).cast("int")
     v = n - u
     a = F.when(u > 0, digits.substr(F.lit(1), u)).otherwise(F.lit("0")).cast("long")
     b = digits.substr(u + 1, v).cast("long")
-    new = feistel(a, b, power(u), power(v), key, F.concat(F.lit(kind), n.cast("string")), back)
-    low = F.lpad(new["b"].cast("string"), v, F.lit("0"))
-    return F.when(u > 0, F.concat(F.lpad(new["a"].cast("string"), u, F.lit("0")), low)).otherwise(low)
+    new = feistel(a, b, power(u), power(v), key, F.concat(kind, n.cast("string")), back)
+
+    def joined(x: Column) -> Column:
+        low = F.lpad(x["b"].cast("string"), v, F.lit("0"))
+        return F.when(u > 0, F.concat(F.lpad(x["a"].cast("string"), u, F.lit("0")), low)).otherwise(low)
+
+    return let(new, joined)
 
 
 def digits_of(x: Column) -> Column:
@@ -115,7 +124,7 @@ def mod97(text: Column) -> Column:
 def card(m: Column, key: str, back: bool) -> Column:
     digits = digits_of(m)
     n = F.char_length(digits)
-    body = permuted_digits(digits.substr(F.lit(1), n - 1), key, "card", back)
+    body = permuted_digits(digits.substr(F.lit(1), n - 1), key, F.lit("card"), back)
     check = F.pmod(10 - luhn(body, True) % 10, F.lit(10)).cast("string")
     return F.when(n.between(13, 19) & (luhn(digits, False) % 10 == 0), filled(m, F.concat(body, check))).otherwise(m)
 
@@ -125,7 +134,7 @@ def iban(m: Column, key: str, back: bool) -> Column:
     country, account = flat.substr(1, 2), flat.substr(F.lit(5), F.char_length(flat))
     digits = digits_of(account)
     valid = F.char_length(flat).between(15, 34) & (F.char_length(digits) > 0) & (mod97(F.concat(account, flat.substr(1, 4))) == 1)
-    new = filled(account, permuted_digits(digits, key, "iban", back))
+    new = filled(account, permuted_digits(digits, key, F.lit("iban"), back))
     check = F.lpad((98 - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
     return F.when(valid, filled(m, digits_of(F.concat(check, new)))).otherwise(m)
 
@@ -150,52 +159,80 @@ def ipv4(m: Column, key: str, back: bool) -> Column:
     return F.when(valid, text).otherwise(m)
 
 
+def country_code(digits: Column) -> Column:
+    """Of a number written after a plus; no code is the beginning of another."""
+    two = F.regexp_extract(digits, "^(?:" + "|".join(f"{a}[{b}]" for a, b in TWO_DIGIT_CODES.items()) + ")", 0)
+    return F.when(digits.rlike("^[17]"), digits.substr(1, 1)).when(two != "", two).otherwise(digits.substr(1, 3))
+
+
 def phone(m: Column, key: str, back: bool) -> Column:
-    """The country code after a plus stays."""
-    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
-    rest = m.substr(F.char_length(code) + 1, F.char_length(m))
-    digits = digits_of(rest)
-    return F.when(F.char_length(digits_of(m)).between(8, 15), F.concat(code, filled(rest, permuted_digits(digits, key, "phone", back)))).otherwise(m)
+    """The number within its country is permuted; the country code stays. Without a plus the code is 1. A zero in brackets is no digit of the number."""
+    plus = m.startswith("+")
 
+    def written(x: Column) -> Column:
+        own = F.when(plus, x["digits"].substr(F.char_length(x["code"]) + 1, F.char_length(x["digits"]))).otherwise(x["digits"])
+        valid = F.when(x["code"] == "1", F.char_length(own) == 10).otherwise(F.char_length(x["digits"]).between(8, 15))
+        new = permuted_digits(own, key, F.concat(F.lit("phone"), x["code"], F.lit(":")), back)
+        return F.when(valid, F.replace(filled(x["shape"], F.concat(F.when(plus, x["code"]).otherwise(F.lit("")), new)), F.lit("\uE000"), F.lit("0"))).otherwise(m)
 
-def day_number(day: Column) -> Column:
-    return F.datediff(day, F.lit(FIRST_DAY).cast("date"))
+    shape = F.regexp_replace(m, r"\(0\)", "(\uE000)")
+    read = lambda s: F.struct(s.alias("shape"), digits_of(s).alias("digits"), F.when(plus, country_code(digits_of(s))).otherwise(F.lit("1")).alias("code"))
+    return let(let(shape, read), written)
 
 
 def another_day(day: Column, key: str, back: bool) -> Column:
-    n = day_number(day)
-    new = feistel(F.floor(n / DAY_PARTS[1]), n % DAY_PARTS[1], long(DAY_PARTS[0]), long(DAY_PARTS[1]), key, F.lit("date"), back)
-    return F.date_add(F.lit(FIRST_DAY).cast("date"), (new["a"] * DAY_PARTS[1] + new["b"]).cast("int"))
+    """Permuted among the days that are written as widely and read alike: months up to the 9th or later, days up to the 9th, the 12th, or later.
 
+    What is no day, like the 30th of February, is walked over.
+    """
+    def start(first: Column) -> Column:
+        months, days = F.when(first["m"] > 9, 3).otherwise(9), F.when(first["d"] > 12, 19).when(first["d"] > 9, 3).otherwise(9)
+        return F.struct(
+            ((F.year(day) - FIRST_YEAR) * months + F.month(day) - first["m"]).cast("long").alias("a"), (F.dayofmonth(day) - first["d"]).cast("long").alias("b"),
+            first["m"].alias("first_month"), months.alias("months"), first["d"].alias("first_day"), days.alias("days"),
+        )
 
-def date(m: Column, key: str, back: bool) -> Column:
-    """Year first, or day first, or, if that is no date, month first; the last keeps to days after the 12th by walking on."""
-    sign = F.regexp_extract(m, r"[-/.]", 0)
-    parts = F.split(m, r"[-/.]")
-    p = [F.element_at(parts, k) for k in (1, 2, 3)]
-    made = lambda y, mo, d: F.try_to_date(F.concat_ws("-", y, F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
-    inside = lambda day: day.isNotNull() & day_number(day).between(0, DAY_PARTS[0] * DAY_PARTS[1] - 1)
-    full = (F.char_length(p[0]) == 2) & (F.char_length(p[1]) == 2)
-    number = lambda x: F.when(full, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
-    iso, day_first, month_first = made(*p), made(p[2], p[1], p[0]), made(p[2], p[0], p[1])
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), month_first, lambda day, k: F.when((k == 1) | (F.dayofmonth(day) <= 12), another_day(day, key, back)).otherwise(day))
-    a, b = another_day(iso, key, back), another_day(day_first, key, back)
-    year = lambda x: F.lpad(F.year(x).cast("string"), 4, "0")
-    return (
-        F.when(F.char_length(p[0]) == 4, F.when(inside(iso), F.date_format(a, "yyyy-MM-dd")).otherwise(F.lit(None)))
-        .when(inside(day_first), F.concat_ws("-", number(F.dayofmonth(b)), number(F.month(b)), year(b)))
-        .when(inside(month_first), F.concat_ws("-", number(F.month(walked)), number(F.dayofmonth(walked)), year(walked)))
-    ), sign
+    firsts = F.struct(F.when(F.month(day) > 9, 10).otherwise(1).alias("m"), F.when(F.dayofmonth(day) > 12, 13).when(F.dayofmonth(day) > 9, 10).otherwise(1).alias("d"))
+    year = lambda s: (F.floor(s["a"] / s["months"]) + FIRST_YEAR).cast("int")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    made = lambda s: F.try_to_date(F.concat_ws("-", year(s).cast("string"), two(s["a"] % s["months"] + s["first_month"]), two(s["b"] + s["first_day"])), "yyyy-MM-dd")
+
+    def step(s: Column) -> Column:
+        kind = F.concat_ws("|", F.lit("date"), s["first_month"].cast("string"), s["first_day"].cast("string"))
+        new = feistel(s["a"], s["b"], s["months"].cast("long") * YEARS, s["days"].cast("long"), key, kind, back)
+        return F.transform(F.array(new), lambda n: F.struct(n["a"].alias("a"), n["b"].alias("b"), *[s[c].alias(c) for c in ("first_month", "months", "first_day", "days")]))[0]
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), let(firsts, start), lambda s, k: F.when((k == 1) | made(s).isNull(), step(s)).otherwise(s), made)
+
+
+def let(value: Column, body) -> Column:
+    """body of a value that is made, and written into the plan, once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def dated(m: Column, key: str, back: bool) -> Column:
-    new, sign = date(m, key, back)
-    return F.coalesce(F.replace(new, F.lit("-"), sign), m)
+    """Year first, or day first, or, if that is no date, month first: one day in any of these gets one day."""
+
+    def written(p: Column) -> Column:
+        made = lambda y, mo, d: F.try_to_date(F.concat_ws("-", p[y], F.lpad(p[mo], 2, "0"), F.lpad(p[d], 2, "0")), "yyyy-MM-dd")
+        read = F.when(F.char_length(p[0]) == 4, F.struct(F.lit("y").alias("order"), made(0, 1, 2).alias("day"))).otherwise(
+            let(made(2, 1, 0), lambda first: F.when(first.isNotNull(), F.struct(F.lit("d").alias("order"), first.alias("day"))).otherwise(F.struct(F.lit("m").alias("order"), made(2, 0, 1).alias("day"))))
+        )
+        full = (F.char_length(p[0]) == 2) & (F.char_length(p[1]) == 2)
+        number = lambda x: F.when(full, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+        shown = lambda order, x: F.when(order == "y", F.date_format(x, "yyyy-MM-dd")).otherwise(
+            F.concat_ws("-", F.when(order == "d", number(F.dayofmonth(x))).otherwise(number(F.month(x))), F.when(order == "d", number(F.month(x))).otherwise(number(F.dayofmonth(x))), F.lpad(F.year(x).cast("string"), 4, "0"))
+        )
+        inside = lambda r: F.year(r["day"]).between(FIRST_YEAR, FIRST_YEAR + YEARS - 1)
+        return let(read, lambda r: F.when(inside(r), let(another_day(r["day"], key, back), lambda x: shown(r["order"], x))))
+
+    sign = F.regexp_extract(m, r"[-/.]", 0)
+    return F.coalesce(F.replace(let(F.split(m, r"[-/.]"), written), F.lit("-"), sign), m)
 
 
 def shifted(chars: Column, other: Column, turn: Column, key: str, sign: int) -> Column:
     """Letters and digits of one half moved on within their kind by hashes of the other half."""
-    text = F.array_join(other, "")
+    text = F.lower(F.array_join(other, ""))  # so that a name in capitals stays linked
     move = lambda i: hashed(key, F.concat(F.lit("mail"), i.cast("string")), turn, text)
 
     def within(c: Column, i: Column, first: int, size: int) -> Column:
@@ -329,8 +366,12 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     """Replaces the personal values in `text` and adds `count`, how many were replaced.
 
     Found: mail addresses (their name), IBANs (mod 97), dates of 1900 to 2099,
-    IPv4 addresses, social security numbers, phone numbers of 8 to 15 digits, and
-    card numbers of 13 to 19 digits (Luhn). What fails its test stays as it is, and
+    IPv4 addresses, social security numbers, phone numbers (after a plus of 8 to 15
+    digits, of country 1 and without a plus of 10), and card numbers of 13 to 19
+    digits (Luhn). A value is linked however it is written: a phone number with or
+    without its code 1, brackets and signs, a day in any order of its parts (day
+    first where both could be), a card or IBAN with or without spaces, a mail name
+    in any case. What fails its test stays as it is, and
     what starts inside it is tested too. Of digits in groups each run of whole
     groups may be a card. With back, the same key gives the values back; only a
     card in groups next to further groups may be lost to another run, where
@@ -342,22 +383,28 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     may by chance be its own pseudonym.
     """
     kept = [c for c in docs.columns if c.lower() != count.lower()]
-    t = F.col(text)
+    t = F.col("text")
     has = t.rlike(CANDIDATE)
-    rows = docs.select(*kept, F.when(has, F.regexp_extract_all(t, F.lit(AHEAD), F.lit(1))).alias("_found"), F.when(has, F.split(t, AHEAD, -1)).alias("_split"))
+    rows = docs.select(F.struct(*[column(c) for c in kept if c != text]).alias("row") if len(kept) > 1 else F.lit(0).alias("row"), column(text).alias("text"))
+    rows = rows.select("row", "text", F.when(has, F.regexp_extract_all(t, F.lit(AHEAD), F.lit(1))).alias("_found"), F.when(has, F.split(t, AHEAD, -1)).alias("_split"))
     extra = F.size("_split") - F.size("_found")  # 1 unless a candidate starts the text
     rows = rows.withColumn("_head", F.when(extra == 1, F.col("_split")[0]).otherwise(F.lit("")))
     rows = rows.withColumn("_pieces", F.when(F.col("_found").isNotNull(), F.slice("_split", extra + 1, F.size("_found"))))
     rows = chosen(rows, key, back)
     changed = F.size(F.filter(F.arrays_zip(F.col("_value").alias("a"), F.col("_new").alias("b")), lambda x: x["a"] != x["b"]))
     new = F.when(F.col("_new").isNotNull(), F.concat("_head", rewritten(F.col("_pieces"), F.col("_value"), F.col("_new")))).otherwise(t)
-    return rows.select(*[new.alias(c) if c == text else F.col(c) for c in kept], F.when(F.col("_new").isNotNull(), changed).otherwise(0).cast("long").alias(count))
+    return rows.select(*[(new if c == text else F.col("row").getField(c)).alias(c) for c in kept], F.when(F.col("_new").isNotNull(), changed).otherwise(0).cast("long").alias(count))
 
 
-def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its personal values replaced."""
-    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), key=PRODUCTION_KEY)
+#: Where a deployment keeps its secret; without it the queries take the key below, which whoever has this file can use.
+KEY_SETTING, DEMONSTRATION_KEY = "spark.geoloom.pseudonym.key", "key of the queries in this repository"
+
 
+def session_key(spark: SparkSession) -> str:
+    """The key that the session sets, else the demonstration key."""
+    return spark.conf.get(KEY_SETTING, DEMONSTRATION_KEY)
 
-#: Stands for the secret that a deployment passes.
-PRODUCTION_KEY = "key of the queries in this repository"
+
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal values replaced, under the session's key."""
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), session_key(spark))
