@@ -12,12 +12,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import held_out, shared_folder, table
+from geoloom.llm.common import column, held_out, shared_folder, table, unused
 from geoloom.llm.decontam import decontaminate, is_contaminated
 from geoloom.llm.language import UNKNOWN, fit, identify
 from geoloom.llm.mixing import mix
 from geoloom.llm.neardup import keep_one
-from geoloom.llm.pii import PRODUCTION_KEY, pseudonymize
+from geoloom.llm.pii import pseudonymize, session_key
 
 #: Under this probability no language stands out.
 LEAST_LANGUAGE = 0.3
@@ -26,8 +26,9 @@ LEAST_LANGUAGE = 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no known language: null texts, texts without a letter, and those where none stands out."""
     net = fit(docs.where(~held_out(F.col("doc_id"))))
-    found = identify(docs, net, pred="_language", score="_probability")
-    return found.where((F.col("_language") != UNKNOWN) & (F.col("_probability") >= LEAST_LANGUAGE)).select(*docs.columns)
+    pred, score = unused(docs, "language"), unused(docs, "probability")
+    found = identify(docs, net, pred=pred, score=score)
+    return found.where((F.col(pred) != UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE)).select(*map(column, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,16 +38,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents: those with a twentieth or more of their words in benchmark windows."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), out="_found")
-    return found.where(~is_contaminated("_found")).select(*docs.columns)
+    out = unused(docs, "found")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), out=out)
+    return found.where(~is_contaminated(out)).select(*map(column, docs.columns))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal values by pseudonyms; n_chars follows where a text changes."""
-    found = pseudonymize(docs, PRODUCTION_KEY, count="_pseudonyms")
+    count = unused(docs, "pseudonyms")
+    found = pseudonymize(docs, session_key(spark), count=count)
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("_pseudonyms") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+        found = found.withColumn("n_chars", F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return found.select(*map(column, docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
