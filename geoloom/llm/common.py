@@ -5,10 +5,13 @@ from __future__ import annotations
 import gc
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,28 @@ def ship(spark: SparkSession) -> None:
         sc.addPyFile(path)
 
 
+def per_row(docs: DataFrame, text: str, new: dict[str, str], start: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
+    """Adds the columns `new` (name and type) to every row, from its text, in Arrow batches.
+
+    start() is called once a task and gives what makes the new columns of a batch of
+    texts. Columns already named as the new ones are replaced. The rows travel as
+    one struct, so that any column names do.
+    """
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in new}]
+    schema = docs.select(*map(column, kept)).schema
+    for name, kind in new.items():
+        schema = schema.add(name, T.DataType.fromDDL(kind))
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = start()
+        for batch in batches:
+            *columns, texts = batch.column("row").flatten()
+            yield pa.RecordBatch.from_arrays([*columns, *made(texts)], [*kept, *new])
+
+    return docs.select(F.struct(*map(column, kept), column(text).alias("text")).alias("row")).mapInArrow(run, schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32(doc_id as text) mod 4 is 2; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
@@ -62,6 +87,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder that was written between stages."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage by a checkpoint in the shared folder.
 

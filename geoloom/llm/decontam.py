@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from geoloom.llm.common import ship, table, words
+from geoloom.llm.common import column, per_row, remove, shared_folder, table, unused, words
 
 WINDOW = 13
 #: Of the original text: words are the same before and after lower-casing A-Z.
@@ -59,6 +60,22 @@ class WaveletMatrix:
         return symbol, end - begin
 
 
+class Marks:
+    """Which of many places are marked, a bit each, and how many are before a place."""
+
+    def __init__(self, marked: np.ndarray):
+        bits = np.packbits(np.concatenate([marked, np.zeros(-len(marked) % 64 + 64, bool)]), bitorder="little")
+        self.words = bits.view(np.uint64)
+        self.counts = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int32)])
+
+    def has(self, at: np.ndarray) -> np.ndarray:
+        return (self.words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+    def before(self, at: np.ndarray) -> np.ndarray:
+        low = self.words[at >> 6] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1))
+        return self.counts[at >> 6] + np.bitwise_count(low)
+
+
 class FMIndex:
     """Over runs of symbols from 1 on, each closed by a 0. No match reaches over a 0."""
 
@@ -84,8 +101,9 @@ class FMIndex:
         last = sequence[suffixes - 1].astype(np.int64)
         self.first = np.concatenate([[0, closes], closes + np.cumsum(np.bincount(sequence[~closing], minlength=top + 1)[1:])])
         self.tree = WaveletMatrix(last, max(1, int(top).bit_length()))
-        self.known = (suffixes % sample == 0) | (last == 0)
-        self.at = suffixes
+        known = (suffixes % sample == 0) | (last == 0)
+        self.known = Marks(known)
+        self.at = suffixes[known]
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the rows of `phrases` that occur: their numbers, and their intervals of suffixes."""
@@ -106,8 +124,8 @@ class FMIndex:
         out = np.empty(len(rows), np.int64)
         todo, steps = np.arange(len(rows)), 0
         while len(todo):
-            known = self.known[rows]
-            out[todo[known]] = self.at[rows[known]] + steps
+            known = self.known.has(rows)
+            out[todo[known]] = self.at[self.known.before(rows[known])] + steps
             todo, rows = todo[~known], rows[~known]
             symbol, before = self.tree.access(rows)
             rows = self.first[symbol] + before
@@ -213,61 +231,74 @@ def decontaminate(
 
     benchmark has item_id and text. Items go out in blocks of about `block_bytes`
     of text: the block count follows from the table's measured size, and each
-    block is one more pass over the same rows, so that what a worker holds
-    doesn't grow with the benchmark. Documents are indexed in shards of about
-    `shard_bytes` (a longer document is a shard of its own), whole and without
-    a shuffle.
+    block is one more pass over the same rows. Between passes the rows with what was
+    found lie in the shared folder, so the driver and the workers hold one block at a
+    time. Documents are indexed in shards of about `shard_bytes` (a longer document
+    is a shard of its own), whole and without a shuffle.
 
     Null texts have no words. Items without words, null item texts and null
     item ids find nothing. Several rows of one item_id are one item with all
     their windows. Repeated documents stay, each with its own result; empty
     tables give no row, or no finds. A column already named `out` is replaced.
     """
-    kept = [c for c in docs.columns if c.lower() != out.lower()]
-    result = docs.select(*kept)
+    spark = docs.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    schema = docs.select(*kept).schema.add(out, T.DataType.fromDDL(FOUND))
-    ship(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
+    folder, result = None, docs
     for block in range(blocks):
+        if block:
+            before, folder = folder, f"{shared_folder(spark)}/found-{uuid.uuid4().hex}"
+            result.write.parquet(folder)
+            result = spark.read.parquet(folder)
+            share.unpersist()
+            if before:
+                remove(spark, before)
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
-        share = context.broadcast(Phrases([(r.i, r.t) for r in rows], window))
-
-        def run(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
-            phrases = share.value
-            for batch in batches:
-                names = batch.schema.names
-                texts = batch.column(names.index(text)).to_pylist()
-                earlier = batch.column(names.index(out)).to_pylist() if out in names else [None] * len(texts)
-                found, at = [], 0
-                while at < len(texts):
-                    shard, held = at, 0
-                    while at < len(texts) and (at == shard or held + len(texts[at] or "") <= shard_bytes):
-                        held += len(texts[at] or "")
-                        at += 1
-                    for n, spans, ids in zip(*find(texts[shard:at], phrases), strict=True):
-                        found.append((int(n), spans, ids))
-                for k, e in enumerate(earlier):
-                    if e:
-                        n, spans, ids = found[k]
-                        found[k] = n, merged([*spans, *((s["start"], s["end"]) for s in e["spans"])]), sorted({*ids, *e["items"]})
-                column = pa.array([{"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": ids} for n, spans, ids in found], ARROW_FOUND)
-                columns = {c: batch.column(k) for k, c in enumerate(names) if c != out} | {out: column}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-        result = result.mapInArrow(run, schema)
+        share = spark.sparkContext.broadcast(Phrases([(r.i, r.t) for r in rows], window))  # of about block_bytes
+        result = searched(result, share, text, out, shard_bytes, earlier=block > 0)
     return result
 
 
-def hits(found: str = "found"):
+def searched(docs: DataFrame, share: Broadcast, text: str, out: str, shard_bytes: int, earlier: bool) -> DataFrame:
+    """One pass: adds `out` for one block of phrases, or with earlier joins it to what `out` already holds."""
+    if earlier:
+        both = unused(docs, "both")
+        docs = docs.select("*", F.struct(column(text).alias("text"), column(out).alias("found")).alias(both))
+        kept = [c for c in docs.columns if c not in (both, out)]
+        return per_row(docs, both, {out: FOUND}, lambda: found_in(share, shard_bytes, True)).select(*map(column, [*kept, out]))
+    return per_row(docs, text, {out: FOUND}, lambda: found_in(share, shard_bytes, False))
+
+
+def found_in(share: Broadcast, shard_bytes: int, earlier: bool) -> Callable[[pa.Array], list[pa.Array]]:
+    phrases = share.value
+
+    def made(column: pa.Array) -> list[pa.Array]:
+        texts = (column.field("text") if earlier else column).to_pylist()
+        found, at = [], 0
+        while at < len(texts):
+            shard, held = at, 0
+            while at < len(texts) and (at == shard or held + len(texts[at] or "") <= shard_bytes):
+                held += len(texts[at] or "")
+                at += 1
+            for n, spans, ids in zip(*find(texts[shard:at], phrases), strict=True):
+                found.append((int(n), spans, ids))
+        if earlier:
+            for k, e in enumerate(column.field("found").to_pylist()):
+                n, spans, ids = found[k]
+                found[k] = n, merged([*spans, *((s["start"], s["end"]) for s in e["spans"])]), sorted({*ids, *e["items"]})
+        return [pa.array([{"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": ids} for n, spans, ids in found], ARROW_FOUND)]
+
+    return made
+
+
+def hits(found: str = "found") -> Column:
     """Words in any occurrence of a window."""
-    return F.aggregate(F.col(f"{found}.spans"), F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
+    return F.aggregate(column(found)["spans"], F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
 
 
-def is_contaminated(found: str = "found"):
-    return (hits(found) > 0) & (20 * hits(found) >= F.col(f"{found}.n_words"))
+def is_contaminated(found: str = "found") -> Column:
+    return (hits(found) > 0) & (20 * hits(found) >= column(found)["n_words"])
 
 
 def removal_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -9,23 +9,27 @@ averaged, weighted by how many bytes they hold.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import held_out, ship, table
+from geoloom.llm.common import column, held_out, per_row, table
 
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters and some other numerals, like ½ and ①.
+LETTERLIKE = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
 WINDOW = 192
 REACH = max(WIDTHS)
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTERLIKE.finditer(text))
+
+
 def windows(text: str, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """The whole text's UTF-8 bytes in rows of `size`, the last one filled with zeros; bytes in each row."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -72,6 +76,28 @@ class ByteNet:
         return out
 
 
+def gradient(net: ByteNet, x: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross-entropy of the windows x, by each of the net's arrays."""
+    n, f, embed = len(x), net.filters.shape[1], net.embed.shape[1]
+    seen_columns, places = net.columns(x), x.shape[1] - REACH + 1
+    answers = (seen_columns @ net.filters).reshape(n, -1, f)
+    where = answers.argmax(axis=1)
+    top = np.take_along_axis(answers, where[:, None, :], 1)[:, 0] + net.shift
+    hidden = np.maximum(top, 0)
+    logits = hidden @ net.out + net.bias
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(n), target] -= 1
+    p /= n
+    back = (p @ net.out.T) * (top > 0)
+    chosen = seen_columns.reshape(n, places, -1)[np.arange(n)[:, None], where]  # n x f x REACH*e
+    grad = {"out": hidden.T @ p, "bias": p.sum(axis=0), "shift": back.sum(axis=0), "filters": np.einsum("nf,nfe->ef", back, chosen), "embed": np.zeros_like(net.embed)}
+    into = (back[:, :, None] * net.filters.T[None]).reshape(n, f, REACH, embed)
+    for k in range(REACH):
+        np.add.at(grad["embed"], x[np.arange(n)[:, None], where + k], into[:, :, k])
+    return grad
+
+
 def train(texts: list[str], labels: list[str], seed: int = 7, embed: int = 8, per_width: int = 12, epochs: int = 14, batch: int = 64, rate: float = 0.01) -> ByteNet:
     """Adam on cross-entropy over one window a text, cut short at random so that short texts are learned too."""
     rng = np.random.default_rng(seed)
@@ -96,30 +122,8 @@ def train(texts: list[str], labels: list[str], seed: int = 7, embed: int = 8, pe
             keep = rng.integers(24, WINDOW + 1, len(pick))
             keep[rng.random(len(pick)) < 0.5] = WINDOW
             x[np.arange(WINDOW)[None, :] >= keep[:, None]] = 0
-            n = len(pick)
-            seen_columns = net.columns(x)
-            answers = (seen_columns @ net.filters).reshape(n, -1, f)
-            where = answers.argmax(axis=1)
-            top = np.take_along_axis(answers, where[:, None, :], 1)[:, 0] + net.shift
-            hidden = np.maximum(top, 0)
-            logits = hidden @ net.out + net.bias
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(n), target[pick]] -= 1
-            p /= n
-            back = (p @ net.out.T) * (top > 0)
-            places = WINDOW - REACH + 1
-            chosen = seen_columns.reshape(n, places, -1)[np.arange(n)[:, None], where]  # n x f x REACH*e
-            grad = {
-                "out": hidden.T @ p,
-                "bias": p.sum(axis=0),
-                "shift": back.sum(axis=0),
-                "filters": np.einsum("nf,nfe->ef", back, chosen) * seen,
-                "embed": np.zeros_like(net.embed),
-            }
-            into = (back[:, :, None] * net.filters.T[None]).reshape(n, f, REACH, embed)
-            for k in range(REACH):
-                np.add.at(grad["embed"], x[np.arange(n)[:, None], where + k], into[:, :, k])
+            grad = gradient(net, x, target[pick])
+            grad["filters"] *= seen
             step += 1
             for name in names:
                 g, (a, b) = grad[name], moments[name]
@@ -129,30 +133,28 @@ def train(texts: list[str], labels: list[str], seed: int = 7, embed: int = 8, pe
     return net
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 600) -> ByteNet | None:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 600, most_languages: int = 1000) -> ByteNet | None:
     """Learns from docs with text and lang; None if there are none.
 
-    The bound: at most `per_language` rows of each language, picked by a hash of
-    the text, and of each the stretch of WINDOW characters at a place that the
-    hash names. Counts by language come from all rows.
+    The bound: of each language at most `per_language` different stretches of
+    WINDOW characters, one of each text at a place that a hash names, and the texts
+    picked by a hash; so copies of a text count once. How many texts a language has
+    is estimated from all rows. More than `most_languages` languages raise an error.
     """
-    ready = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("l"), F.col(text).alias("t"))
-    counts = {r["l"]: r["count"] for r in docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("l")).count().collect()}
-    if not counts:
+    ready = docs.where(column(lang).isNotNull() & column(text).rlike(r"\p{L}")).select(column(lang).cast("string").alias("l"), column(text).alias("t"))
+    found = ready.groupBy("l").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).limit(most_languages + 1).collect()
+    if len(found) > most_languages:
+        raise ValueError(f"more than {most_languages} languages in {lang}")
+    if not found:
         return None
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * per_language / n))])
+    share = F.create_map(*[F.lit(x) for r in found for x in (r.l, min(1.0, 1.5 * per_language / r.n))])
     draw = F.pmod(F.xxhash64("t"), F.lit(1_000_003))
-    picked = ready.where(draw / 1_000_003 < share[F.col("l")]).select(
-        "l",
-        draw.alias("draw"),
-        F.col("t").substr((1 + F.pmod(F.xxhash64("t", "l"), F.greatest(F.lit(1), F.length("t") - WINDOW + 1))).cast("int"), F.lit(WINDOW)).alias("t"),
-    )
-    rows: dict[str, list[str]] = {}
-    for r in picked.orderBy("l", "draw", "t").toLocalIterator():
-        if len(kept := rows.setdefault(r["l"], [])) < per_language:
-            kept.append(r["t"])
-    pairs = [(t, k) for k, ts in sorted(rows.items()) for t in ts]
-    return train([t for t, _ in pairs], [k for _, k in pairs]) if pairs else None
+    place = (1 + F.pmod(F.xxhash64("t", "l"), F.greatest(F.lit(1), F.length("t") - WINDOW + 1))).cast("int")
+    picked = ready.where(draw / 1_000_003 < share[F.col("l")]).select("l", draw.alias("draw"), F.col("t").substr(place, F.lit(WINDOW)).alias("t")).groupBy("l", "t").agg(F.min("draw").alias("draw"))
+    first = F.row_number().over(Window.partitionBy("l").orderBy("draw", "t"))
+    rows = picked.withColumn("place", first).where(F.col("place") <= per_language).select("l", "place", "t").collect()
+    rows.sort(key=lambda r: (r.l, r.place))
+    return train([r.t for r in rows], [r.l for r in rows]) if rows else None
 
 
 def predict(texts: list[str | None], net: ByteNet | None) -> tuple[list[str], list[float]]:
@@ -160,7 +162,7 @@ def predict(texts: list[str | None], net: ByteNet | None) -> tuple[list[str], li
     out = [(UNKNOWN, 0.0)] * len(texts)
     if net is None:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
-    of = [k for k, t in enumerate(texts) if t and LETTER.search(t)]
+    of = [k for k, t in enumerate(texts) if t and has_letter(t)]
     group: list[tuple[int, np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -196,17 +198,16 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", pred: str
     Equal probabilities go to the first language in order. Columns already
     named as the new ones are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in (pred.lower(), score.lower())]
-    schema = docs.select(*kept).schema.add(pred, "string").add(score, "double")
-    ship(docs.sparkSession)
     share = docs.sparkSession.sparkContext.broadcast(net)  # some 10,000 numbers
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = predict(batch.column(batch.schema.names.index(text)).to_pylist(), share.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(a, pa.string()), pa.array(b, pa.float64())], [*batch.schema.names, pred, score])
+    def start():
+        def made(texts: pa.Array) -> list[pa.Array]:
+            names, scores = predict(texts.to_pylist(), share.value)
+            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+
+        return made
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return per_row(docs, text, {pred: "string", score: "double"}, start)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

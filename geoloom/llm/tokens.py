@@ -10,14 +10,13 @@ identifiers are never made.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import ship, table
+from geoloom.llm.common import per_row, table
 
 SPACE = "▁"
 
@@ -113,20 +112,13 @@ def count_tokens(docs: DataFrame, model: str, text: str = "text", out: str = "n_
     empty, and a column already named `out` is replaced. Memory is one batch of
     rows plus the bounded memory of stretches. No shuffle.
     """
-    ranks = load_pieces(model)
-    ship(docs.sparkSession)
-    share = docs.sparkSession.sparkContext.broadcast(ranks)  # as many entries as the vocabulary file
+    share = docs.sparkSession.sparkContext.broadcast(load_pieces(model))  # as many entries as the vocabulary file
 
-    kept = [c for c in docs.columns if c.lower() != out.lower()]
-    schema = docs.select(*kept).schema.add(out, "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         counter = Counter(share.value)
-        for batch in batches:
-            n = pa.array([counter.count(t.as_py()) for t in batch.column(batch.schema.names.index(text))], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, n], [*batch.schema.names, out])
+        return lambda texts: [pa.array([counter.count(t.as_py()) for t in texts], pa.int64())]
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return per_row(docs, text, {out: "bigint"}, start)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

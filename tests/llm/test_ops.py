@@ -20,7 +20,8 @@ ODD = [(1, None), (2, ""), (3, "   \n"), (4, "word " * 20_000), (5, "same text h
 @pytest.fixture
 def odd(spark):
     """Nulls, empty and very long texts, repeated rows, and columns whose names operators use."""
-    return spark.createDataFrame([(i, t, "x", "y") for i, t in ODD], "doc_id long, text string, score string, found string")
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in ODD], "doc_id long, text string, score string, found string, dotted string")
+    return df.withColumnRenamed("dotted", "a.b")
 
 
 @pytest.fixture
@@ -55,9 +56,11 @@ def test_decontamination_equals_brute_force():
 
 def test_decontamination_in_blocks_and_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "same text here"), (2, "word word word"), (3, None), (None, "x"), (4, "")], "item_id long, text string")
+    odd = odd.drop("score").withColumn("both", F.lit("z"))
     one, many = (decontam.decontaminate(odd, bench, block_bytes=n).select("doc_id", "text", "found", decontam.is_contaminated().alias("c")).collect() for n in (1000, 12))
     assert sorted(map(repr, one)) == sorted(map(repr, many))
     assert {r.doc_id for r in one if r.c} == {4, 5, 6}
+    assert decontam.decontaminate(odd, bench, block_bytes=12).columns == ["doc_id", "text", "a.b", "both", "found"]
     assert decontam.decontaminate(none, bench).count() == 0
     assert decontam.decontaminate(odd, bench.where("false")).where("size(found.items) > 0").count() == 0
     assert decontam.removal_spans("Oh, Same text HERE.", [(1, 4)]) == [(4, 18)]
