@@ -106,6 +106,24 @@ def cut(df: DataFrame) -> DataFrame:
     return done
 
 
+#: Rows of one group that may meet in one task, at least; and hot groups that are told to all tasks, at most.
+GROUP, HOT_GROUPS = 1000, 100_000
+
+
+def met(rows: DataFrame, groups: DataFrame, by: str, total: int, spread: str) -> DataFrame:
+    """rows joined with their group's row on `by`; the groups' column `size` holds how many rows they have, in all at most `total`.
+
+    Groups above a size are dealt by a hash of `spread` over several tasks, each with a copy of
+    the group's row. The size is `total` / HOT_GROUPS or more, so that there are at most
+    HOT_GROUPS of them: a proven bound of what is broadcast.
+    """
+    most = max(GROUP, -(-total // HOT_GROUPS))
+    hot = F.broadcast(groups.where(F.col("size") > most).select(by, F.ceil(F.col("size") / most).cast("int").alias("parts")))
+    dealt = rows.join(hot, by, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64(spread, F.lit(11)), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    copies = groups.join(hot, by, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts", "size")
+    return dealt.join(copies, [by, "part"]).drop("part")
+
+
 #: ASCII other than digits and letters becomes a space, A-Z becomes a-z; every
 #: byte from 0x80 on stays, so that UTF-8 words beyond ASCII stay whole.
 WORD_BYTES = bytes(

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import cut
+from geoloom.llm.common import cut, met
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """Edges (u, v) with u > v. Large: each node's larger neighbours move to its least neighbour. Small: its smaller ones do.
 
-    The least neighbour is a grouped minimum joined back, so that no task holds a node's neighbours.
+    The least neighbour is a grouped minimum joined back, hot nodes over several tasks, so that no task holds a node's neighbours.
     """
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size")).select("u", F.least("u", "m").alias("m"), "size")
+    joined = met(both, least, "u", total, "v")
     moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else (
         joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     )
@@ -40,5 +40,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = cut(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
 
     while not _settled(now):
-        now = cut(_star(_star(now, True), False))
+        edges = now.count()
+        now = cut(_star(_star(now, True, 2 * edges), False, 2 * edges))  # a star has no more edges than twice those before
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

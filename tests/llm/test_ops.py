@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontam, language, neardup, neighbours, pii, queries, secrets, tokens, toxicity
+from geoloom.llm import common, decontam, language, neardup, neighbours, pii, queries, secrets, tokens, toxicity
 from geoloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -215,10 +215,16 @@ def test_secrets(spark, odd, none):
     assert secrets.scan(none, model).count() == 0
 
 
-def classes(rows, least=0.8):
-    """Components of equal texts and of shingle sets of at least this similarity, by comparing all pairs."""
+def plain_probability_jaccard(a, b):
+    a, b = (dict(zip(x[0].tolist(), x[1].tolist())) for x in (a, b))
+    return sum(1 / sum(max(a.get(e, 0) / a[d], b.get(e, 0) / b[d]) for e in a.keys() | b.keys()) for d in a.keys() & b.keys())
+
+
+def classes(rows, least=0.8, weighted=False):
+    """Components of equal texts and of shingles of at least this similarity, by comparing all pairs."""
     of_word = neardup.WordHash()
-    sets = [neardup.shingles(t, of_word)[0] for _, t in rows]
+    sets = [neardup.shingles(t, of_word) for _, t in rows]
+    alike = plain_probability_jaccard if weighted else lambda a, b: neardup.jaccard(a[0], b[0])
     up = list(range(len(rows)))
 
     def root(k):
@@ -228,7 +234,7 @@ def classes(rows, least=0.8):
 
     for a in range(len(rows)):
         for b in range(a):
-            if rows[a][1] is not None and (rows[a][1] == rows[b][1] or neardup.jaccard(sets[a], sets[b]) >= least):
+            if rows[a][1] is not None and (rows[a][1] == rows[b][1] or alike(sets[a], sets[b]) >= least):
                 x, y = sorted((root(a), root(b)))
                 up[y] = x
     return [root(k) for k in range(len(rows))]
@@ -254,6 +260,39 @@ def test_near_duplicates_equal_all_pairs(spark, odd, none):
     assert again.columns == odd.columns and neardup.keep_one(none).count() == 0
 
 
+def test_weighted_near_duplicates_equal_all_pairs(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(20):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(80)]
+        for c in range(4):
+            ws = list(base)
+            ws[rng.randrange(80)] = f"n{rng.randint(0, 10**6)}"
+            rows.append((4 * k + c, " ".join([" ".join(ws[:20])] * rng.choice([1, 1, 3, 30]) + ws[20:])))
+    of_word = neardup.WordHash()
+    sets = [neardup.shingles(t, of_word) for _, t in rows]
+    pairs = [(a, b) for k in range(0, 80, 4) for a in range(k, k + 4) for b in range(k, a)]
+    same = [plain_probability_jaccard(sets[a], sets[b]) for a, b in pairs]
+    assert [neardup.probability_jaccard(sets[a], sets[b]) for a, b in pairs] == pytest.approx(same)
+    registers = neardup.signatures(sets, weighted=True)
+    estimates = [(registers[a] == registers[b]).mean() for a, b in pairs]
+    assert min(same) < 0.4 and np.mean(np.subtract(estimates, same)) == pytest.approx(0, abs=0.01) and np.abs(np.subtract(estimates, same)).max() < 0.2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for weighted in (False, True):
+        got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df, weighted=weighted).collect()}
+        assert got == {rows[k][0]: rows[c][0] for k, c in enumerate(classes(rows, weighted=weighted))}
+
+
+def test_hot_groups_meet_over_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(common, "GROUP", 10)
+    rows = spark.range(500).select(F.col("id").alias("key"), F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 70).alias("g"))
+    groups = rows.groupBy("g").agg(F.count("*").alias("size"), F.min("key").alias("first"))
+    got = common.met(rows, groups, "g", 500, "key").collect()
+    assert sorted((r.key, r.g, r.first) for r in got) == sorted((r.key, r.g, r.first) for r in rows.join(groups, "g").collect()) and len(got) == 500
+    edges = spark.createDataFrame([(0, k) for k in range(1, 300)] + [(k, k + 1000) for k in range(1, 100)] + [(5000, 5001)], "a long, b long")
+    assert {r.label for r in components(edges).collect()} == {0, 5000} and components(edges).count() == 401
+
+
 def test_near_duplicates_that_differ_in_repeats(spark):
     of_word, rows = neardup.WordHash(), []
     for k in range(12):
