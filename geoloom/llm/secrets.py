@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import table
+from geoloom.llm.common import column, table
 from geoloom.llm.matches import running, steps
 
 #: The contract's base patterns, in its order.
@@ -25,7 +25,7 @@ PATTERNS = {
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 #: What must be in a text for a kind to be in it; spares the rest of the work.
 MAY = {"assign": PATTERNS["assign"], "access": r"AKIA[A-Z0-9]{12}", "hex": r"[0-9a-f]{32}"}
-TOKEN, SHORTEST = r"[A-Za-z0-9+/_=-]{20,}", 20
+TOKEN, SHORTEST = r"[A-Za-z0-9+/_=-]{16,}", 16
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Words that the default ordinary identifiers are made of.
 COMMON = (
@@ -42,21 +42,40 @@ COMMON = (
 ).split()
 
 
-def default_samples(spark: SparkSession, n: int = 4000) -> DataFrame:
-    """Labelled samples (text, label), made by rule: 1 for strings of hash digits in usual encodings, 0 for identifiers of common words."""
-    ids = spark.range(n).withColumn("digest", F.unhex(F.sha2(F.col("id").cast("string"), 256)))
-    encoded = F.base64("digest")
-    plain = F.regexp_replace(encoded, "[+/=]", "")
-    random = F.element_at(F.array(encoded, plain, F.lower(F.hex("digest")), F.upper(plain), F.translate(encoded, "+/", "-_")), (F.col("id") % 5 + 1).cast("int"))
+def default_samples(spark: SparkSession, n: int = 8000) -> DataFrame:
+    """Labelled samples (text, label, kind, part), made by rule: 1 for strings of hash digits in usual encodings, 0 for identifiers of common words, numbers and the like.
+
+    part 0 and 1 are for the models, 2 for the threshold, 3 is held out.
+    """
+    draw = lambda k, below: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(below)).cast("int")
+    ids = spark.range(n).withColumn("digest", F.unhex(F.concat(F.sha2(F.col("id").cast("string"), 256), F.sha2(F.concat(F.lit("+"), F.col("id").cast("string")), 256))))
+    encoded, plain = F.base64("digest"), F.regexp_replace(F.base64("digest"), "[+/=]", "")
+    small = F.lower(plain)
+    randoms = {
+        "base64": encoded, "base64 for addresses": F.translate(encoded, "+/", "-_"), "letters and digits": plain, "upper case and digits": F.upper(plain), "lower case and digits": small,
+        "lower case": F.translate(small, "0123456789", ""), "hexadecimal": F.lower(F.hex("digest")),
+    }
     words = F.array(*[F.lit(w) for w in COMMON])
-    word = lambda k: F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(COMMON))) + 1).cast("int"))
-    parts = F.slice(F.array(*[word(k) for k in range(5)]), 1, (F.lit(2) + F.pmod(F.xxhash64("id"), F.lit(4))).cast("int"))
+    parts = F.slice(F.array(*[F.element_at(words, draw(k, len(COMMON)) + 1) for k in range(5)]), 1, (F.lit(2) + draw(9, 4)).cast("int"))
     camel = F.array_join(F.transform(parts, F.initcap), "")
     join = lambda sign: F.array_join(parts, sign)
-    line = F.repeat(F.element_at(F.split(F.lit(ALPHABET), ""), (F.floor(F.col("id") / 9) % len(ALPHABET) + 1).cast("int")), 24)  # a ruled line or padding
-    shapes = [line, camel, join("_"), join("-"), F.upper(join("_")), join("/"), join(""), F.concat(join("_"), (F.col("id") % 100).cast("string")), F.concat(F.lower(camel.substr(1, 1)), camel.substr(2, 200))]
-    ordinary = F.element_at(F.array(*shapes), (F.col("id") % len(shapes) + 1).cast("int"))
-    return ids.select(random.alias("text"), F.lit(1).alias("label")).unionByName(ids.select(ordinary.alias("text"), F.lit(0).alias("label")))
+    line = F.repeat(F.element_at(F.split(F.lit(ALPHABET), ""), (draw(10, len(ALPHABET)) + 1).cast("int")), 24)
+    hexes = F.lower(F.hex("digest"))
+    uuid = F.concat_ws("-", *[hexes.substr(a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    number = F.translate(F.conv(hexes.substr(1, 15), 16, 10), "-", "")
+    dated = F.concat(F.date_add(F.lit("1990-01-01").cast("date"), draw(11, 12000)).cast("string"), F.lit("-"), join("-"))
+    ordinaries = {
+        "ruled line": line, "camel case": camel, "camel case with a small start": F.concat(F.lower(camel.substr(1, 1)), camel.substr(2, 200)), "under score": join("_"), "hyphen": join("-"),
+        "upper case": F.upper(join("_")), "path": join("/"), "words run together": join(""), "with a number": F.concat(join("_"), draw(12, 100).cast("string")), "uuid": uuid, "number": number,
+        "dated": dated, "version": F.concat(join("-"), F.lit("-v"), draw(13, 10).cast("string")),
+    }
+
+    def made(kinds: dict[str, Column], label: int, length: Column) -> DataFrame:
+        pick = (F.col("id") % len(kinds)).cast("int")
+        text = F.element_at(F.array(*kinds.values()), pick + 1).substr(F.lit(1), length)
+        return ids.select(text.alias("text"), F.lit(label).alias("label"), F.element_at(F.array(*[F.lit(k) for k in kinds]), pick + 1).alias("kind"), draw(14, 4).alias("part"))
+
+    return made(randoms, 1, F.lit(16) + draw(15, 29)).unionByName(made(ordinaries, 0, F.lit(200)))
 
 
 def kind_of(code: int) -> int:
@@ -115,6 +134,13 @@ def ratio(token: Column, model: list[float]) -> Column:
     )["sum"]
 
 
+def threshold(samples: DataFrame, model: list[float], false_alarms: float = 0.001) -> float:
+    """The least ratio that at most that share of the samples of label 0 of SHORTEST characters or more reaches; 0 without such samples."""
+    scored = samples.where(F.col("label") == 0).where(F.char_length("text") >= SHORTEST).select(ratio(F.col("text"), model).alias("r"))
+    found = scored.agg(F.percentile_approx("r", 1 - false_alarms, 100_000)).first()[0]
+    return max(0.0, math.nextafter(found, math.inf)) if found is not None else 0.0
+
+
 def _spans(place: int, kind: str, model: list[float], least_ratio: float) -> Column:
     """A kind's spans from its columns of matches."""
     found = F.col(f"_{kind}_found")
@@ -144,8 +170,8 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", out: str = "se
     already named `out` is replaced.
     """
     kept = [c for c in docs.columns if c.lower() != out.lower()]
-    rows = docs.select(*kept)
-    t = F.col(text)
+    rows = docs.select(F.struct(*map(column, kept)).alias("row") if kept else F.lit(0).alias("row"), column(text).alias("text"))
+    t = F.col("text")
     none = F.array().cast("array<string>")
     patterns = PATTERNS | {"random": TOKEN}
     for kind, pattern in patterns.items():
@@ -160,7 +186,8 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", out: str = "se
     spans = {kind: _spans(place, kind, model, least_ratio) for place, kind in enumerate(patterns)}
     rows = rows.withColumn("_base", F.concat(*[spans[k] for k in PATTERNS])).withColumn("_random", spans["random"])
     free = F.filter("_random", lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return rows.select(*kept, F.sort_array(F.concat("_base", free)).alias(out))
+    rows = rows.select("row", F.sort_array(F.concat("_base", free)).alias("spans"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in kept], F.col("spans").alias(out))
 
 
 def digest(spans: Column) -> Column:
@@ -168,9 +195,10 @@ def digest(spans: Column) -> Column:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document, with the models trained on the default samples."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scan(docs, train(default_samples(spark)))
+    """Secrets of every document, with models and threshold fitted to the default samples."""
+    docs, samples = table(spark, sf_dir, "documents").select("doc_id", "text"), default_samples(spark)
+    model = train(samples.where("part < 2"))
+    found = scan(docs, model, least_ratio=threshold(samples.where("part = 2"), model))
     base = F.filter("secrets", lambda x: x["kind"] != "random")
     count = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")
     return found.select(
