@@ -18,7 +18,7 @@ PLAIN = {
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    samples = secrets.default_samples(spark, 4000).cache()
+    samples = secrets.default_samples(spark).cache()
     model = secrets.train(samples.where("part < 2"))
     return samples, model, secrets.threshold(samples.where("part = 2"), model)
 
@@ -56,9 +56,9 @@ def test_held_out_samples_are_told_apart(fitted):
     samples, model, least = fitted
     held = samples.where("part = 3").where(F.char_length("text") >= secrets.SHORTEST).withColumn("found", secrets.ratio(F.col("text"), model) >= least)
     shares = {(r.label, r.kind): r.share for r in held.groupBy("label", "kind").agg(F.avg(F.col("found").cast("int")).alias("share")).collect()}
-    assert all(share < 0.02 for (label, _), share in shares.items() if label == 0)
+    assert all(share <= 0.02 for (label, _), share in shares.items() if label == 0)
     assert all(shares[1, kind] > 0.9 for kind in ("base64", "base64 for addresses", "letters and digits", "upper case and digits"))
-    assert shares[1, "lower case and digits"] > 0.6 and shares[1, "lower case"] > 0.2  # hexadecimal ones of under 32 digits look like pieces of a uuid
+    assert shares[1, "lower case and digits"] > 0.8 and shares[1, "lower case"] > 0.4  # hexadecimal ones of under 32 digits look like pieces of a uuid
 
 
 def test_models_of_odd_samples(spark):
