@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
-    """The folder for checkpoints, that of spark.checkpoint.dir; where that is unset, as in tests, a temporary one."""
+    """The folder for checkpoints, that of spark.checkpoint.dir; where that is unset, a temporary one for a local master, as in tests, and an error on a cluster."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        shared_by_all = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared_by_all and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(shared_by_all or tempfile.mkdtemp())
     return context._jsc.sc().getCheckpointDir().get()
 
 

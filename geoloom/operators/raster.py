@@ -23,17 +23,17 @@ def focal(cells: DataFrame, radius: int, aggregates: list[Column], keep=lambda d
     return spread(cells, offsets(radius, keep)).groupBy("r", "c").agg(*aggregates).join(cells, ["r", "c"])
 
 
-def fill_holes(cells: DataFrame, rows: int, columns: int, most: int = 1000) -> DataFrame:
+def fill_holes(cells: DataFrame, rows: int, columns: int) -> DataFrame:
     """Fills holes from their eight neighbours, all at once in each round, by the mean floored to a hundredth.
 
-    Raises ValueError if nothing is present. Each round's cells are checkpointed.
+    Goes on until nothing is missing; each round fills what touches a cell that is there. Raises
+    ValueError if nothing is present in the raster. Each round's cells are checkpointed.
     """
-    if cells.isEmpty():
+    now = cells.select("r", "c", "zc").where(f"zc is not null and r between 0 and {rows - 1} and c between 0 and {columns - 1}")
+    have, want = now.count(), rows * columns
+    if not have:
         raise ValueError("no cell has a value")
-    now, have, want = cells.select("r", "c", "zc"), cells.count(), rows * columns
-    for _ in range(most):
-        if have >= want:
-            return now
+    while have < want:
         seen = spread(now, offsets(1)).where(f"r between 0 and {rows - 1} and c between 0 and {columns - 1}").groupBy("r", "c")
         means = seen.agg(F.max(F.when((F.col("dr") == 0) & (F.col("dc") == 0), F.col("zc"))).alias("own"), F.floor(F.sum("zc") / F.count("zc")).alias("mean"))
         now = means.select("r", "c", F.coalesce("own", "mean").cast("long").alias("zc"))
@@ -45,3 +45,15 @@ def fill_holes(cells: DataFrame, rows: int, columns: int, most: int = 1000) -> D
 def local_peaks(cells: DataFrame, radius: int) -> DataFrame:
     """Cells that no cell of their window exceeds; ties all stay."""
     return focal(cells, radius, [F.max("zc").alias("top")]).where("zc >= top").select("r", "c", "zc")
+
+
+def smoothed(full: DataFrame, rows: int, columns: int, passes: int = 1) -> DataFrame:
+    """(r, c, z): the mean of the 3 x 3 window of a raster (r, c, z) without holes, the edge cells repeated outwards; so often over.
+
+    Each cell sends its value to the windows it is in, once for each of their nine places it stands at.
+    """
+    heard = lambda at, last: F.filter(F.array(at - 1, at, at + 1, F.when(at == 0, at), F.when(at == last, at)), lambda x: (x >= 0) & (x <= last))
+    for _ in range(passes):
+        sent = full.select(F.explode(heard(F.col("r"), F.lit(rows - 1))).alias("r"), "c", "z").select("r", F.explode(heard(F.col("c"), F.lit(columns - 1))).alias("c"), "z")
+        full = sent.groupBy("r", "c").agg((F.sum("z") / 9).alias("z"))
+    return full

@@ -27,6 +27,7 @@ def until_fit(triangles: DataFrame, points: DataFrame, tolerance: float, rounds:
     nothing; of points equally far off the least id is taken. A point belongs to
     the triangle it is deepest in, so a round joins points and triangles on the
     name alone; rounds are written to the shared folder. Points at one place must have one height.
+    If `rounds` rounds don't do, RuntimeError: nothing half done is returned.
     """
     done = triangles.select("tri", *CORNERS)
     placed = points.where("x is not null and y is not null and z is not null").select("id", "x", "y", "z")
@@ -47,6 +48,8 @@ def until_fit(triangles: DataFrame, points: DataFrame, tolerance: float, rounds:
         inside = weighed(owned.withColumnRenamed("tri", "parent").join(now, "parent"))
         owned = written(inside.groupBy("id", "x", "y", "z").agg(F.max(F.struct("least", "tri")).alias("m")).select("id", "x", "y", "z", "m.tri"))
         now = now.drop("parent")
+    else:
+        raise RuntimeError(f"triangles don't fit after {rounds} rounds")
     for part in kept:
         now = now.unionByName(part)
     return now

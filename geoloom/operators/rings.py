@@ -108,16 +108,16 @@ def broken(corners: DataFrame) -> DataFrame:
     return rings.mapInPandas(run, f"face {dict(corners.dtypes)['face']}")
 
 
-def without_hairpins(faces: DataFrame, sharp_in: Column, limit: float, most: float, always: float, rounds: int = 50) -> DataFrame:
+def without_hairpins(faces: DataFrame, sharp_in: Column, limit: float, most: float, always: float) -> DataFrame:
     """Faces less the hairpins of those that sharp_in chooses.
 
     Taking a tip may leave the corner behind it as the new tip, so this goes in
     rounds. A corner stays if a face would break without the corners of its round;
-    a round that spares all its corners is the last. Only the faces with a corner
+    a round that spares all its corners is the last, and every other takes a corner. Only the faces with a corner
     that goes are looked at, and each round is checkpointed.
     """
     now = shared(keyed(faces))
-    for _ in range(rounds):
+    while True:
         drop = shared(hairpins(now.where(sharp_in), limit, most, always).select(*KEY).distinct())
         while not drop.isEmpty():
             touched = now.join(now.join(drop, KEY, "left_semi").select("face").distinct(), "face", "left_semi")

@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets in a group.
+WIDE = 4096
+
 
 def prefix_sums(df: DataFrame, bucket: Column, order: list[Column], value: str, out: str) -> DataFrame:
     """Adds the sum of value over the rows before each, by bucket, then order.
 
-    Buckets must rise with the order. Their totals, one row a bucket, are summed
-    in one task; rows are summed within their bucket. The order has no ties.
+    bucket is a whole number that rises with the order. Its totals are summed in two
+    levels, within the groups of WIDE buckets and over the groups, and rows within
+    their bucket; so a task holds a bucket, WIDE totals, or a total for every WIDE
+    buckets. The order has no ties.
     """
-    rows = df.withColumn("_bucket", bucket)
-    totals = rows.groupBy("_bucket").agg(F.sum(value).alias("_total"))
-    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    before = totals.select("_bucket", (F.sum("_total").over(upto) - F.col("_total")).alias("_before"))
-    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.withColumn("_inside", F.sum(value).over(inside) - F.col(value))
+    rows = df.withColumn("_bucket", bucket.cast("long"))
+    totals = rows.groupBy("_bucket").agg(F.sum(value).alias("_total")).withColumn("_group", F.floor(F.col("_bucket") / WIDE))
+    groups = totals.groupBy("_group").agg(F.sum("_total").alias("_all"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    groups = groups.select("_group", (F.sum("_all").over(upto(Window.orderBy("_group"))) - F.col("_all")).alias("_start"))
+    own = F.sum("_total").over(upto(Window.partitionBy("_group").orderBy("_bucket"))) - F.col("_total")
+    before = totals.withColumn("_own", own).join(groups, "_group").select("_bucket", (F.col("_own") + F.col("_start")).alias("_before"))
+    summed = rows.withColumn("_inside", F.sum(value).over(upto(Window.partitionBy("_bucket").orderBy(*order))) - F.col(value))
     return summed.join(before, "_bucket").withColumn(out, (F.col("_before") + F.col("_inside")).cast("long")).drop("_bucket", "_before", "_inside")

@@ -27,7 +27,7 @@ CHECKS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
         """select 'water_present' as name, count(*) > 0 as passed, 'error' as severity from {poly} union all
         select 'water_levels', coalesce(min(lev / 100) >= -10 and max(lev / 100) <= 60, false), 'error' from {poly} union all
         select 'one_level_per_water', coalesce(max(spread) < 0.01, true), 'error' from (select max(lev) - min(lev) as spread from {poly} group by cls) t union all
-        select 'bed_below_surface', coalesce(min(lev - (lev - rad)) > 0, false), 'error' from {poly} union all
+        select 'bed_below_bank', coalesce(min(case when bed < bank then 1 else 0 end) = 1, false), 'error' from (select min(lev - rad) as bed, percentile(lev, 0.25) - 0.4 as bank from {poly} group by cls) b union all
         select 'land_cover_coverage', coalesce(sum(2 * rad * rad - 2 * hole * hole) / 1000000.0e0 > 0.25, false), 'warning' from {poly}""",
     ),
     "v7_road_checks": (
@@ -60,7 +60,7 @@ CHECKS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
         union all select 'tunnels_below', coalesce(max(v - y) < 0, true), 'error' from {pts} where kind = 'error'
         union all select 'portals', count(*) >= 2 or count(*) = 0, 'error' from {pts} where kind = 'purchase'""",
     ),
-    "v13_world_file": (("poly",), (), "select id, abs((cx - rad + rad / 64) - (cx - rad) - rad / 64) < 1e-9 as passed from {poly}"),
+    "v13_world_file": (("poly",), (), "select id, abs(floor((cx - rad + rad / 64) * 1000 + 0.5) / 1000 - rad / 64 - (cx - rad)) < 4e-4 as passed from {poly}"),
     "v15_quay_checks": (
         ("poly",), (),
         "select cls, min(rad - 2) >= 1 as quay_below, coalesce(min(abs(lev) / 1000) >= 0.1 and max(abs(lev) / 1000) <= 6, false) as deck_height from {poly} group by cls",
@@ -209,9 +209,7 @@ ROWS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
     ),
     "a13_deck_quartile": (
         ("pts",), (),
-        """select kind, case when count(case when v between 50.1e0 and 56 then 1 end) >= 10 then min(case when k = q then v end) else 1.5e0 end as deck from (
-        select kind, v, case when v between 50.1e0 and 56 then row_number() over (partition by kind, v between 50.1e0 and 56 order by v, id) end as k,
-        case when v between 50.1e0 and 56 then cast(floor(count(*) over (partition by kind, v between 50.1e0 and 56) / 4) as bigint) + 1 end as q from {pts}) t group by kind""",
+        "select kind, case when count(case when v between 50.1e0 and 56 then 1 end) >= 10 then percentile(case when v between 50.1e0 and 56 then v end, 0.25) else 1.5e0 end as deck from {pts} group by kind",
     ),
     "a21_edge_multiplicity": (
         ("tris",), (),

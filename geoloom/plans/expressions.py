@@ -54,7 +54,7 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
         having (max(x) - min(x)) + (max(y) - min(y)) >= case when kind = '1-URGENT' then 800 when kind = '2-HIGH' then 1000 else 200 end""",
     ),
     "f17_safe_names": ((), ("part",), "select p_partkey, p_name from {part} where p_name <> '' and p_name not in ('.', '..') and length(regexp_replace(p_name, '[A-Za-z0-9._-]', '', 'g')) = 0"),
-    "f18_markup_answers": ((), ("pages",), "select page_id, lower(trim(substr(html, 1, 40))) like '<?xml%' or lower(trim(substr(html, 1, 40))) like '<!doctype%' or lower(trim(substr(html, 1, 40))) like '<html%' as is_markup from {pages}"),
+    "f18_markup_answers": ((), ("pages",), "select page_id, " + " or ".join(f"ltrim(html, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) like '{m}%'" for m in V.MARKUP_STARTS) + " as is_markup from {pages}"),
     "p1_local_shift": (("pts",), (), "select id, x - 500.0e0 as local_x, y - 500.0e0 as local_y from {pts}"),
     "p3_box_checks": (
         ("poly",), (),
@@ -192,7 +192,11 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]] = {
     "a28_model_bounds": (("pts",), (), "select kind, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1, abs((min(x) + max(x)) / 2 - 500) <= 0.5 * greatest(max(x) - min(x) - 1000, 0) + 1 as centred from {pts} group by kind"),
     "a29_light_statistics": (("ras",), (), "select avg(case when zc > 5000000 then r end) as lit, avg(case when zc <= 5000000 then r end) as dark, count(case when zc > 5000000 then 1 end) as n_lit from {ras}"),
     "a30_sorted_distinct": (("poly",), (), "select distinct cls, cast(floor(cx / 100) as bigint) as column_no from {poly}"),
-    "w1_running_length": (("lines",), (), "select line, vertex, round(sum(abs(x)) over (partition by line order by vertex rows between unbounded preceding and current row), 2) as along from {lines}"),
+    "w1_running_length": (
+        ("lines",), (),
+        """select line, vertex, round(sum(coalesce(sqrt((x - px) * (x - px) + (y - py) * (y - py)), 0)) over (partition by line order by vertex rows between unbounded preceding and current row), 3) as along from (
+        select line, vertex, x, y, lag(x) over (partition by line order by vertex) as px, lag(y) over (partition by line order by vertex) as py from {lines}) t""",
+    ),
     "w2_previous_next": (("lines",), (), "select line, vertex, coalesce(lag(x) over (partition by line order by vertex), x) as before, coalesce(lead(x) over (partition by line order by vertex), x) as after from {lines}"),
     "w3_ring_neighbours": (
         ("lines",), (),
@@ -247,7 +251,7 @@ def build(statements: dict[str, tuple[tuple[str, ...], tuple[str, ...], str]]):
     """The queries of statements, and their SQL for DuckDB."""
     assert all(v in VIEWS for views, _, _ in statements.values() for v in views)
     queries = {name: statement(name, *parts) for name, parts in statements.items()}
-    return queries, {name: oracle(sql.format(**{x: x for x in (*views, *tables)}), *views) for name, (views, tables, sql) in statements.items()}
+    return queries, {name: oracle(sql.replace("percentile(", "quantile_cont(").format(**{x: x for x in (*views, *tables)}), *views) for name, (views, tables, sql) in statements.items()}
 
 
 QUERIES, SQL = build(STATEMENTS)

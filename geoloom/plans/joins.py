@@ -222,6 +222,23 @@ def a16(lines):
     return heard.join(bins.select("bin"), "bin", "left_semi")
 
 
+@query("a16_direction", ("lines",), """with seg as (select line, x - lag(x) over w as dx, y - lag(y) over w as dy from lines window w as (partition by line order by vertex)),
+  turned as (select line, sqrt(dx * dx + dy * dy) as len, dx * dx - dy * dy as c2, 2 * dx * dy as s2, dx * dx + dy * dy as l2 from seg where dx * dx + dy * dy > 1e-12)
+  select line, round(degrees(atan2(sum(len * (2 * c2 * s2) / (l2 * l2)), sum(len * (c2 * c2 - s2 * s2) / (l2 * l2)))) / 4, 4) as degrees from turned group by line
+  having sqrt(pow(sum(len * (2 * c2 * s2) / (l2 * l2)), 2) + pow(sum(len * (c2 * c2 - s2 * s2) / (l2 * l2)), 2)) > 1e-6""")
+def a16_direction(lines):
+    """The direction a line runs in, modulo a right angle: the mean, by length, on a circle gone round four times."""
+    seg = spatial.segments(lines).where("len > 1e-6").select("line", "len", F.radians(4 * F.degrees(F.atan2(F.col("y") - F.col("py"), F.col("x") - F.col("px")))).alias("t"))
+    sums = seg.groupBy("line").agg(F.sum(F.col("len") * F.sin("t")).alias("s"), F.sum(F.col("len") * F.cos("t")).alias("k")).where("sqrt(s * s + k * k) > 1e-6")
+    return sums.select("line", F.round(F.degrees(F.atan2("s", "k")) / 4, 4).alias("degrees"))
+
+
+@query("f1_current", ("versions",), "select seq, object_id, kind from versions where ended is null or length(ended) = 0")
+def f1(versions):
+    """Rows whose registration hasn't ended: null or empty."""
+    return versions.where(F.coalesce("ended", F.lit("")) == "").select("seq", "object_id", "kind")
+
+
 @query("a19_length_by_kind", ("lines",), """select kind, round(sum(sqrt((x - px) * (x - px) + (y - py) * (y - py))), 3) as metres from (
   select *, lag(x) over (partition by line order by vertex) as px, lag(y) over (partition by line order by vertex) as py from lines) where px is not null group by kind""")
 def a19(lines):
@@ -229,10 +246,16 @@ def a19(lines):
     return spatial.segments(lines).where("px is not null").groupBy("kind").agg(F.round(F.sum("len"), 3).alias("metres"))
 
 
-@query("w5_box_smooth", ("ras",), """select a.r, a.c, sum(b.zc) / (count(*) * 1.0) as mean from ras a join ras b on b.r between a.r - 1 and a.r + 1 and b.c between a.c - 1 and a.c + 1 group by a.r, a.c""")
+@query("w5_box_smooth", ("ras",), """with flat as (select cast(floor(avg(zc)) as bigint) as level from ras), grid as (select r, c, coalesce(zc, level) as z, zc is null as missing from
+  (select unnest(range(0, 100)) as r) x cross join (select unnest(range(0, 100)) as c) y left join ras using (r, c) cross join flat)
+  select a.r, a.c, sum(b.z) / 9.0e0 as z from grid a cross join (select unnest([-1, 0, 1]) as dr) p cross join (select unnest([-1, 0, 1]) as dc) q
+  join grid b on b.r = least(greatest(a.r + dr, 0), 99) and b.c = least(greatest(a.c + dc, 0), 99) where a.missing group by a.r, a.c""")
 def w5(ras):
-    """Mean of the present cells of the 3 x 3 window."""
-    return raster.focal(ras, 1, [F.sum("zc").alias("s"), F.count(F.lit(1)).alias("n")]).select("r", "c", (F.col("s") / (F.col("n") * F.lit(1.0))).alias("mean"))
+    """The 3 x 3 mean, edges repeated, of the cells that had no value and took the mean level."""
+    places = ras.sparkSession.range(10_000).select(F.floor(F.col("id") / 100).alias("r"), (F.col("id") % 100).alias("c"))
+    level = ras.agg(F.floor(F.avg("zc")).alias("level"))
+    grid = places.join(ras, ["r", "c"], "left").join(F.broadcast(level)).select("r", "c", F.coalesce("zc", "level").alias("z"))  # one row goes out
+    return raster.smoothed(grid, 100, 100).join(ras.select("r", "c"), ["r", "c"], "left_anti")
 
 
 @query("w7_disk_max", ("ras",), "select a.r, a.c, max(b.zc) as top from ras a join ras b on (b.r - a.r) * (b.r - a.r) + (b.c - a.c) * (b.c - a.c) <= 9 group by a.r, a.c")
@@ -247,10 +270,12 @@ def w8(ras):
     return raster.local_peaks(ras, 2)
 
 
-@query("w10_roughness", ("ras",), """select a.r, a.c, cast(sum(b.zc) as bigint) as s, count(*) as n, cast(max(b.zc) - min(b.zc) as bigint) as span from ras a join ras b on b.r between a.r - 2 and a.r + 2 and b.c between a.c - 2 and a.c + 2 group by a.r, a.c""")
+@query("w10_roughness", ("ras",), """select a.r, a.c, sqrt(cast(count(*) * sum(b.zc::hugeint * b.zc) - sum(b.zc)::hugeint * sum(b.zc) as double)) / count(*) / 100 as std
+  from ras a join ras b on b.r between a.r - 2 and a.r + 2 and b.c between a.c - 2 and a.c + 2 group by a.r, a.c""")
 def w10(ras):
-    """Sum, count and span of the 5 x 5 window's cells."""
-    return raster.focal(ras, 2, [F.sum("zc").alias("s"), F.count(F.lit(1)).alias("n"), (F.max("zc") - F.min("zc")).alias("span")]).select("r", "c", "s", "n", "span")
+    """The standard deviation of the present cells of the 5 x 5 window, from whole sums."""
+    seen = raster.focal(ras, 2, [F.sum("zc").alias("s"), F.sum(F.col("zc") * F.col("zc")).alias("q"), F.count(F.lit(1)).alias("n")])
+    return seen.select("r", "c", (F.sqrt((F.col("n") * F.col("q") - F.col("s") * F.col("s")).cast("double")) / F.col("n") / 100).alias("std"))
 
 
 @query("w12_dilate", ("ras",), """select distinct r + dr as r, c + dc as c from (select r, c from ras where zc > 9000000), (select unnest(range(-2, 3)) as dr), (select unnest(range(-2, 3)) as dc)
@@ -267,9 +292,10 @@ def w6(ras):
     return raster.fill_holes(ras, 100, 100)
 
 
-@query("c1_components", ("network",), """with reach(node, other) as (select a, a from network union select b, b from network union
-  select reach.node, case when network.a = reach.other then network.b else network.a end from reach join network on network.a = reach.other or network.b = reach.other)
-  select node, min(other) as label from reach group by node""")
+@query("c1_components", ("network",), """with edges as (select a as s, b as t from network union all select b, a from network),
+  reached(node, label) using key (node) as (select distinct s, s from edges union
+    select e.t, min(l.label) from reached l join edges e on e.s = l.node join recurring.reached now on now.node = e.t group by e.t, now.label having min(l.label) < now.label)
+  select node, label from reached""")
 def c1(network):
     """The least node that each node reaches."""
     return graph.connected_components(network)
@@ -288,5 +314,5 @@ def p31(poly):
     """Faces numbered by class, direction and distance."""
     keyed = poly.select("id", "cls", (F.floor(F.col("lev") / 2 + 0.5) % 90).alias("azimuth"), F.floor((F.col("cx") + F.col("cy")) / 0.5 + 0.5).alias("shift"))
     keys = keyed.select("cls", "azimuth", "shift").distinct().withColumn("one", F.lit(1).cast("long"))
-    numbered = sequences.prefix_sums(keys, F.struct("cls", "azimuth"), [F.col("shift")], "one", "before")
+    numbered = sequences.prefix_sums(keys, F.col("cls") * 200 + F.col("azimuth") + 100, [F.col("shift")], "one", "before")
     return keyed.join(numbered, ["cls", "azimuth", "shift"]).select("id", "azimuth", "shift", (F.col("before") + 1).alias("face"))

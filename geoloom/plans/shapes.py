@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -203,10 +205,15 @@ def p5(poly):
     return at.select("id", "k", (F.col("cx") - F.col("rad") + F.col("k") * (2 * F.col("rad")) / (F.col("n") - 1)).alias("x"))
 
 
-@query("p23_name_prefix", ("buildings",), """select id, list_reduce(list_prepend('', list_transform(string_split_regex(brand, '[ _#-]'), lambda w: upper(substr(w, 1, 1)) || regexp_replace(substr(w, 2), '[^A-Za-z0-9]', '', 'g'))), lambda a, b: a || b) as prefix from buildings""")
+#: Accented Latin letters, and the letters that compatibility decomposition leaves of them.
+_left = {chr(k): unicodedata.normalize("NFKD", chr(k)).encode("ascii", "ignore").decode() for k in range(0xC0, 0x250)}
+PLAIN_LETTERS = "".join(k for k, x in _left.items() if len(x) == 1), "".join(x for x in _left.values() if len(x) == 1)
+
+
+@query("p23_name_prefix", ("buildings",), """select id, list_reduce(list_prepend('', list_transform(string_split_regex(strip_accents(brand), '[ _#-]'), lambda w: upper(substr(w, 1, 1)) || regexp_replace(substr(w, 2), '[^A-Za-z0-9]', '', 'g'))), lambda a, b: a || b) as prefix from buildings""")
 def p23(buildings):
-    """The words of a name, each with a capital, without other signs."""
-    words = F.transform(F.split("brand", "[ _#-]"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.regexp_replace(w.substr(F.lit(2), F.length(w)), "[^A-Za-z0-9]", "")))
+    """The words of a name, each with a capital, without accents and other signs."""
+    words = F.transform(F.split(F.translate("brand", *PLAIN_LETTERS), "[ _#-]"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.regexp_replace(w.substr(F.lit(2), F.length(w)), "[^A-Za-z0-9]", "")))
     return buildings.select("id", F.array_join(words, "").alias("prefix"))
 
 
@@ -334,10 +341,10 @@ def w21(lines):
     return lines.groupBy("line").agg(F.sort_array(F.collect_list("x")).alias("xs")).select("line", L.thin("xs", 40.0).alias("kept"))
 
 
-@query("w22_shared_stations", ("network",), """select a, b, k, a + k * (b - a) / n as place from (select a, b, n, unnest(range(0, n + 1)) as k from (select a, b, greatest(cast(ceil((b - a) / 60.0) as bigint), 1) as n from network))""")
+@query("w22_shared_stations", ("network",), """select a, b, k, a + k * (b - a) / n as place from (select a, b, n, unnest(range(0, n + 1)) as k from (select a, b, greatest(cast(ceil(((b - a) % 500) / 60.0) as bigint), 1) as n from network))""")
 def w22(network):
     """Equal cuts counted from the lesser end, so that both neighbours get the same."""
-    n = F.greatest(F.ceil((F.col("b") - F.col("a")) / 60.0), F.lit(1))
+    n = F.greatest(F.ceil((F.col("b") - F.col("a")) % 500 / 60.0), F.lit(1))
     return network.select("a", "b", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), n)).alias("k")).select("a", "b", "k", (F.col("a") + F.col("k") * (F.col("b") - F.col("a")) / F.col("n")).alias("place"))
 
 
@@ -394,4 +401,4 @@ def g3(tris):
 @query("g5_prune_spurs", ("network",), None)
 def g5(network):
     """The network without short dead ends."""
-    return greedy.prune_spurs(network.select("a", "b", (F.col("b") - F.col("a")).cast("double").alias("length")), 150.0)
+    return greedy.prune_spurs(network.select("a", "b", ((F.col("b") - F.col("a")) % 500).cast("double").alias("length")), 150.0)
