@@ -161,9 +161,9 @@ def _signed(texts: DataFrame, weighted: bool) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, weighted: bool) -> DataFrame:
     """The pairs (a, b) of keys whose texts have a similarity of at least `least`."""
-    first = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    first = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size")).join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     second = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    joined = met(pairs.select("a", "b"), first, "a", pairs.count(), "b").join(second, "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word, known = WordHash(), OrderedDict()
