@@ -29,7 +29,11 @@ def frame(name: str, *inputs: str):
 
 
 col, lit = F.col, F.lit
-area = 2 * col("rad") * col("rad") - 2 * col("hole") * col("hole")
+
+
+def area() -> Column:
+    """Of a polygon without its hole."""
+    return 2 * col("rad") * col("rad") - 2 * col("hole") * col("hole")
 
 
 def cell(c: str, size: float) -> Column:
@@ -92,7 +96,7 @@ def f8(ras):
 
 @frame("f12_area_floor", "poly")
 def f12(poly):
-    return poly.select("id", area.alias("area"), (col("rad") ** 2 / (2 * col("rad") ** 2) >= 0.2).alias("wet_enough")).where("area >= 40")
+    return poly.select("id", area().alias("area"), (col("rad") ** 2 / (2 * col("rad") ** 2) >= 0.2).alias("wet_enough")).where("area >= 40")
 
 
 @frame("f18_markup_answers", "pages")
@@ -351,7 +355,7 @@ def o5(orders):
 
 @frame("o7_composite_key", "poly")
 def o7(poly):
-    return poly.select("cls", "id", F.row_number().over(Window.partitionBy("cls").orderBy(area, F.desc("lev"), "id")).cast("long").alias("place"))
+    return poly.select("cls", "id", F.row_number().over(Window.partitionBy("cls").orderBy(area(), F.desc("lev"), "id")).cast("long").alias("place"))
 
 
 @frame("o8_page_budget", "orders")
@@ -444,7 +448,7 @@ def v6(poly):
         check(poly, "water_levels", every((col("lev") / 100).between(-10, 60))),
         check(of_class, "one_level_per_water", every(col("spread") < 0.01, True)),
         check(of_class, "bed_below_bank", every(col("bed") < col("bank"))),
-        check(poly, "land_cover_coverage", F.coalesce(F.sum(area) > 250000, lit(False)), "warning"),
+        check(poly, "land_cover_coverage", F.coalesce(F.sum(area()) > 250000, lit(False)), "warning"),
     )
 
 
