@@ -1,4 +1,4 @@
-"""Connected components by least-label propagation with shortcuts."""
+"""Connected components by stars, and what iterations leave behind."""
 
 from __future__ import annotations
 
@@ -34,14 +34,21 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, label): the least node that each node reaches. Rounds are about the logarithm of the longest path."""
-    both = shared(edges.select(F.col(a).alias("s"), F.col(b).alias("t")).unionByName(edges.select(F.col(b).alias("s"), F.col(a).alias("t"))).distinct())
-    labels = shared(both.groupBy("s").agg(F.least(F.min("t"), F.first("s")).alias("label")).withColumnRenamed("s", "node"))
+    """(node, label): the least node that each node reaches, of every node that has an edge.
+
+    By stars, in rounds that double what a node knows: each node's larger neighbours
+    are tied to the least one around it, then its smaller ones are, until every node is tied to its label alone.
+    Minima are grouped and joined back, and each round is written.
+    """
+    nodes = written(edges.select(F.explode(F.array(a, b)).alias("node")).distinct())
+    now = written(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     while True:
-        told = both.join(labels, both.t == labels.node).groupBy("s").agg(F.min("label").alias("seen"))
-        new = labels.join(told, labels.node == told.s, "left").select("node", F.least("label", F.coalesce("seen", "label")).alias("to"), F.col("label").alias("was"))
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("further"))
-        new = shared(new.join(jump, "to", "left").select("node", F.least("to", F.coalesce("further", "to")).alias("label"), "was"))
-        if new.where("label <> was").isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        around = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = written(both.where("v > u").join(around, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(least.select("u", F.col("m").alias("v")))
+        new = written(small.distinct())
+        if new.count() == now.count() and new.join(now, ["u", "v"], "left_anti").isEmpty():
+            return nodes.join(new.select(F.col("u").alias("node"), F.col("v").alias("label")), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+        now = new
