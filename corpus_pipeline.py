@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import column, held_out, shared_folder, table, unused
+from geoloom.llm.common import column, held_out, remove, shared_folder, table, unused
 from geoloom.llm.decontam import decontaminate, is_contaminated
 from geoloom.llm.language import UNKNOWN, fit, identify
 from geoloom.llm.mixing import mix
@@ -70,10 +70,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each but the last returns is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; what each but the last returns is written to the shared folder and read again.
+
+    A stage's folder goes once the next one is written; the last stays, as the result reads it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
