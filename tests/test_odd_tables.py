@@ -28,8 +28,13 @@ def agrees(spark, tmp_path):
 #: Vertices whose numbers differ by 100,000 are at one place: segments without length alone, in the middle, and at the end; a line of one vertex, and one that turns back on itself.
 STILL = """select v::bigint as o_orderkey, l::bigint as o_custkey, '2-HIGH' as o_orderpriority from (values
   (7, 1), (100007, 1), (5, 2), (12, 2), (100012, 2), (100020, 2), (3, 3), (8, 3), (100008, 3), (6, 4), (30, 5), (40, 5), (100030, 5)) t(v, l)"""
+GROUND = "select v::bigint as l_orderkey, w::bigint as l_partkey, 100.0e0 + v + w as l_extendedprice from range(0, 100) a(v), range(0, 90) b(w)"
 
 
 def test_normals_beside_segments_without_length(agrees):
     found = agrees("p28_offset_normals", orders=STILL)
     assert len(found) == 11 and sum(repr(r[1]) == "nan" for r in found) == 6
+
+
+def test_barriers_beside_segments_without_length(agrees):
+    assert len(agrees("x6_barriers", orders=STILL, lineitem=GROUND)) == 11
