@@ -1,7 +1,7 @@
 """Greedy selections without a sequential pass.
 
 Going through ranked things and keeping each that conflicts with none kept so
-far gives one set only. It is found here in rounds: whatever no undecided thing
+far gives one set only. Of a stretch of the order it is found in rounds: whatever no undecided thing
 ahead of it conflicts with is kept, and what it conflicts with goes. A round is
 two anti-joins on the conflicts left; their number shrinks fast, as for a random
 order. Every round is checkpointed.
@@ -9,6 +9,8 @@ order. Every round is checkpointed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,37 @@ def conflict_free(ranked: DataFrame, conflicts: DataFrame, rank: list[Column]) -
     return ranked.join(beaten(order), "id", "left_anti")
 
 
+#: Things in the first stretch of a greedy selection, and how many sampled ranks its end is found among.
+FIRST, RANKS = 8192, 4096
+
+
+def in_stretches(ranked: DataFrame, conflicts: Callable[[DataFrame, DataFrame], DataFrame], rank: list[Column]) -> DataFrame:
+    """Rows of ranked (id, ...) that a pass in the order of rank keeps, where conflicts(left, right) finds the (a, b) of things of left and right in conflict.
+
+    Stretches of the order are done one after another, each about twice as long as the one
+    before. What is kept of a stretch takes out all behind it that it conflicts with, so
+    conflicts among things that go early are never listed. Ties of rank go to the smaller id.
+    """
+    columns, kept, size = ranked.columns, [], FIRST
+    left = ranked.withColumn("_place", F.struct(*rank, F.col("id").alias("_id")))
+    kinds = left.schema["_place"].dataType
+    while True:
+        share = max(size // RANKS, 1)
+        end = left.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select("_place").orderBy("_place").offset(size // share).limit(1).collect()
+        upto = F.col("_place") <= F.struct(*[F.lit(v).cast(k.dataType).alias(k.name) for v, k in zip(end[0]._place, kinds)]) if end else F.lit(True)
+        stretch = left.where(upto).drop("_place")
+        kept.append(shared(conflict_free(stretch, conflicts(stretch, stretch).where("a < b").distinct(), rank)))
+        if not end:
+            break
+        rest = left.where(~upto)
+        hit = conflicts(kept[-1], rest).select(F.col("b").alias("id")).distinct()
+        left, size = shared(rest.join(hit, "id", "left_anti")), size * 2
+    out = kept[0]
+    for more in kept[1:]:
+        out = out.unionByName(more)
+    return out.select(*columns)
+
+
 def spaced(points: DataFrame, reach: str, most: float, rank: list[Column]) -> DataFrame:
     """Points (id, x, y, reach, ...) kept in the order of rank, each at least the larger of both reaches from all kept.
 

@@ -116,3 +116,14 @@ def test_pooled_level_gives_each_water_one(spark):
 def test_clips_of_clips_stay_small(spark):
     plan = catalog.QUERIES["p29_polygon_clip"](spark, SF)._jdf.queryExecution().optimizedPlan()
     assert len(plan.toString()) < 50_000
+
+
+def test_cuts_in_stretches_are_those_of_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(greedy, "FIRST", 12)
+    monkeypatch.setattr(greedy, "RANKS", 6)
+    rng = np.random.default_rng(7)
+    rows = [(n, *map(float, rng.integers(0, 40, 4)), int(rng.integers(0, 9))) for n in range(150)]
+    segs = spark.createDataFrame(rows, "id long, px double, py double, qx double, qy double, h int")
+    named = lambda df: df.withColumnRenamed("id", "seg")
+    got = sorted(r.id for r in greedy.in_stretches(segs, lambda a, b: lines.crossing(named(a), named(b), 10.0), [F.col("h")]).collect())
+    assert got == sorted(r.id for r in greedy.conflict_free(segs, lines.crossings(named(segs), 10.0), [F.col("h")]).collect()) and 0 < len(got) < 150
