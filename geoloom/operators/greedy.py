@@ -79,11 +79,17 @@ def spaced(points: DataFrame, reach: str, most: float, rank: list[Column]) -> Da
 
     most bounds the reaches: larger ones raise an error.
     """
-    checked = points.withColumn(reach, F.when(F.col(reach) <= most, F.col(reach)).otherwise(F.raise_error(F.lit(f"a reach is over {most}"))))
-    near = spatial.within_distance(points, points, most).where("id_a < id_b")
-    reaches = checked.select("id", F.col(reach).alias("r"))
-    met = near.join(reaches.select(F.col("id").alias("id_a"), F.col("r").alias("ra")), "id_a").join(reaches.select(F.col("id").alias("id_b"), F.col("r").alias("rb")), "id_b")
-    return conflict_free(points, met.where(F.col("gap") < F.greatest("ra", "rb")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), rank)
+    checked = F.when(F.col(reach) <= most, F.col(reach)).otherwise(F.raise_error(F.lit(f"a reach is over {most}")))
+
+    def near(a: DataFrame, b: DataFrame) -> DataFrame:
+        at = lambda df, n: df.select("id", "x", "y", checked.alias("r")).withColumnsRenamed({c: c + n for c in ("id", "x", "y", "r")})
+        left = spatial.near_cells(at(a, "a"), most, "xa", "ya")
+        right = at(b, "b").withColumns({"gx": spatial.cell(F.col("xb"), most), "gy": spatial.cell(F.col("yb"), most)})
+        dx, dy = F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb")
+        met = left.join(right, ["gx", "gy"]).where(F.sqrt(dx * dx + dy * dy) < F.greatest("ra", "rb"))
+        return met.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+
+    return in_stretches(points, near, rank)
 
 
 def best_pairs(candidates: DataFrame) -> DataFrame:

@@ -127,3 +127,15 @@ def test_cuts_in_stretches_are_those_of_one_pass(spark, monkeypatch):
     named = lambda df: df.withColumnRenamed("id", "seg")
     got = sorted(r.id for r in greedy.in_stretches(segs, lambda a, b: lines.crossing(named(a), named(b), 10.0), [F.col("h")]).collect())
     assert got == sorted(r.id for r in greedy.conflict_free(segs, lines.crossings(named(segs), 10.0), [F.col("h")]).collect()) and 0 < len(got) < 150
+
+def test_stretches_keep_what_one_pass_keeps(spark, monkeypatch):
+    monkeypatch.setattr(greedy, "FIRST", 12)
+    monkeypatch.setattr(greedy, "RANKS", 6)
+    rng = np.random.default_rng(8)
+    rows = [(n, *map(float, np.round(rng.random(2) * 60, 0)), float(rng.integers(1, 9)), float(rng.integers(0, 5))) for n in range(400)]
+    got = {r.id for r in greedy.spaced(spark.createDataFrame(rows, "id long, x double, y double, reach double, h double"), "reach", 8.0, [-F.col("h")]).collect()}
+    kept = []
+    for r in sorted(rows, key=lambda r: (-r[4], r[0])):
+        if all(math.hypot(r[1] - k[1], r[2] - k[2]) >= max(r[3], k[3]) for k in kept):
+            kept.append(r)
+    assert got == {k[0] for k in kept}
