@@ -66,9 +66,10 @@ def x1(ras):
 
 @query("x2_waters", ("pts", "poly"), f"with {PIP} select polygon, count(*) as samples, min(p.v) as low, max(p.v) as high from pip join pts p on p.id = pip.point where cls % 2 = 0 group by polygon")
 def x2(pts, poly):
-    """The height samples in each water."""
-    found = spatial.points_in_polygons(pts, poly.where("cls % 2 = 0")).select("polygon", F.col("point").alias("id"))
-    return found.join(pts.select("id", "v"), "id").groupBy("polygon").agg(F.count(F.lit(1)).alias("samples"), F.min("v").alias("low"), F.max("v").alias("high"))
+    """The height samples in each water, summed up by place before they meet it."""
+    seen = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    found = spatial.places_in_polygons(seen, poly.where("cls % 2 = 0"))
+    return found.groupBy("polygon").agg(F.sum("n").alias("samples"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 @query("x3_buildings", ("buildings", "units"), f"""select b.id, coalesce(u.rank, {V.PRIORITY.index("other")}) as function, case when height_m < 2.5 or height_m > 45 then 'implausible' when footprint_m2 < 250 and floors <= 4 then 'small' else 'large' end as size
