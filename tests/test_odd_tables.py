@@ -73,6 +73,7 @@ NEAR = "select j + 100000 * k as event_id, 'click' as event_type, 1.0e0 as value
     ("j7_nearest_in_range", {"events": CROWD.replace("range(0, 400)", "range(0, 9000)").replace("range(0, 3)", "range(0, 1 + j % 2)")}),
     ("j23_longest_border", {"customer": WATERS}),
     ("f14_piers_in_water", {"customer": WATERS.replace("range(0, 300)", "range(0, 3000)")}),
+    ("x13_layers", {"customer": WATERS}),
 ])
 def test_copies_at_one_place(agrees, name, tables):
     assert agrees(name, **tables)
@@ -82,6 +83,7 @@ def test_copies_at_one_place(agrees, name, tables):
     ("j8_nearest_line", "px", {"events": NEAR, "orders": TRACKS}),
     ("j23_longest_border", "x0", {"customer": WATERS}),
     ("f14_piers_in_water", "wx0", {"customer": WATERS}),
+    ("x13_layers", "x0", {"customer": WATERS}),
 ])
 def test_equal_shapes_meet_once(spark, tmp_path, name, by, tables):
     con = duckdb.connect()
