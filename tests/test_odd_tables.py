@@ -82,7 +82,7 @@ def test_copies_at_one_place(agrees, name, tables):
 @pytest.mark.parametrize("name, by, tables", [
     ("j8_nearest_line", "px", {"events": NEAR, "orders": TRACKS}),
     ("j23_longest_border", "x0", {"customer": WATERS}),
-    ("f14_piers_in_water", "wx0", {"customer": WATERS}),
+    ("f14_piers_in_water", "x0", {"customer": WATERS}),
     ("x13_layers", "x0", {"customer": WATERS}),
 ])
 def test_equal_shapes_meet_once(spark, tmp_path, name, by, tables):
