@@ -48,12 +48,12 @@ CROWD = "select i::bigint as event_id, 'click' as event_type, (i % 97) * 1.0e0 a
 WATERS = "select i::bigint as c_custkey, (i % 25)::int as c_nationkey, (i % 31) * 10.0e0 as c_acctbal from (select j + 100000 * k as i from range(0, 300) a(j), range(0, 2) b(k))"
 
 
-@pytest.mark.parametrize("name", ["j5_first_polygon", "j16_deck_level", "x2_waters"])
+@pytest.mark.parametrize("name", ["j4_point_in_polygon", "j5_first_polygon", "j16_deck_level", "x2_waters"])
 def test_points_that_share_places(agrees, name):
     assert agrees(name, events=CROWD, customer=WATERS)
 
 
-@pytest.mark.parametrize("name", ["j5_first_polygon", "j16_deck_level", "x2_waters"])
+@pytest.mark.parametrize("name", ["j4_point_in_polygon", "j5_first_polygon", "j16_deck_level", "x2_waters"])
 def test_polygons_meet_places_not_points(spark, tmp_path, name):
     """Copies of a point are joined with polygons once."""
     con = duckdb.connect()
