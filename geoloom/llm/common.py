@@ -93,12 +93,22 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
+#: Rows in a part of a checkpoint, at least, and parts for each core, where a frame says how many rows it has at most.
+PART_ROWS, PARTS = 50_000, 4
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Cuts the lineage by a checkpoint in the shared folder.
 
     What led there isn't needed again, so the driver collects its garbage: Spark
     deletes the shuffles and checkpoints of frames that no variable holds.
+
+    rows: how many rows there are, about or at most. A small frame then goes to few files, however
+    many partitions a shuffle gave it; on a local file system each file starts two processes.
+    Not for frames that are costly to make, as their tasks become as few.
     """
+    if rows is not None:
+        df = df.coalesce(max(PARTS * df.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS)))
     shared_folder(df.sparkSession)
     done = df.checkpoint(eager=True)
     gc.collect()

@@ -31,15 +31,15 @@ def _settled(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("top").alias("top")).where("up > 1 or up = 1 and top = 1").isEmpty()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """(node, label) of every node that has an edge to another; label is the least node of its component.
 
     Edges count both ways; loops, repeats and nulls are ignored; no edges give no
-    rows. Each round's edges go to the shared checkpoint folder.
+    rows. Each round's edges go to the shared checkpoint folder. rows: how many edges there are, about or at most, if known.
     """
-    now = cut(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    now = cut(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), rows)
 
     while not _settled(now):
         edges = now.count()
-        now = cut(_star(_star(now, True, 2 * edges), False, 2 * edges))  # a star has no more edges than twice those before
+        now = cut(_star(_star(now, True, 2 * edges), False, 2 * edges), 2 * edges)  # a star has no more edges than twice those before
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

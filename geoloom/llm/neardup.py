@@ -327,23 +327,23 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
     total = nodes.count() * BANDS
     exploded = nodes.select("key", "n", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("key", "n")).alias("first")).where("size > 1")
-    within = cut(met(exploded, cut(shared), "band", total, "key"))
+    within = cut(met(exploded, cut(shared, total), "band", total, "key"), total)
     fits = F.lit(True) if weighted else F.expr(f"least(n, first.n) >= {least} * greatest(n, first.n)")
-    stars = cut(within.where(F.col("first.key") != F.col("key")).where(fits).select(F.col("first.key").alias("a"), F.col("key").alias("b")).distinct())
+    stars = cut(within.where(F.col("first.key") != F.col("key")).where(fits).select(F.col("first.key").alias("a"), F.col("key").alias("b")).distinct(), total)
 
     wanted = stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))).distinct().join(nodes.select("key", "at"), "key")
     texts = base.where("text is not null").join(wanted, "key").where("id <=> at").select("key", "text").dropDuplicates(["key"])
     links = cut(_verified(stars, texts, least, weighted))
-    labels = components(links)
+    labels = components(links, rows=total)
     labelled = within.join(labels, within.key == labels.node, "left").select("band", "key", "n", F.coalesce("label", "key").alias("label"))
     split = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("band", "size")
     members = met(labelled, split, "band", total, "key").join(nodes.select("key", "sketch"), "key")
-    clusters = components(_alike(members.select("band", "key", "label", "n", "sketch"), least, weighted, total)).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
-    clusters = cut(clusters.join(nodes.select("key", "n", "at"), "key"))
+    clusters = components(_alike(members.select("band", "key", "label", "n", "sketch"), least, weighted, total), rows=total).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
+    clusters = cut(clusters.join(nodes.select("key", "n", "at"), "key"), total // BANDS)
     alike = base.where("text is not null").join(clusters, "key").where("id <=> at").dropDuplicates(["key"]).select("key", "cluster", "n", "text")
     late = _linked(alike, least, weighted, total)
     ends = late.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("y")), "b", "left")
-    contracted = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
+    contracted = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")), rows=total)
     top = contracted.select(F.col("node").alias("label"), F.col("label").alias("top"))
     # nodes of a component of stars, or that only a late link reaches
     final = labels.join(top, "label", "left").select(F.col("node").alias("key"), F.coalesce("top", "label").alias("label"))
@@ -352,7 +352,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lea
     placed = nodes.select("key", "id", "copies").join(linked, "key", "left").where("copies > 1 or label is not null")
     placed = placed.withColumn("label", F.coalesce("label", "key"))
     classes = placed.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_key = cut(placed.select("key", "label").join(classes, "label").select("key", "class_id", "class_size", F.col("label").alias("class_key")))
+    of_key = cut(placed.select("key", "label").join(classes, "label").select("key", "class_id", "class_size", F.col("label").alias("class_key")), total // BANDS)
     found = base.select("id", "key").join(of_key.withColumn("known", F.lit(True)), "key", "left")
     return found.select(
         F.col("id").alias(id),

@@ -4,6 +4,7 @@ import datetime
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -282,6 +283,26 @@ def test_hot_groups_meet_over_several_tasks(spark, monkeypatch):
     assert {r.label for r in components(edges).collect()} == {0, 5000} and components(edges).count() == 401
 
 
+def test_small_checkpoints_go_to_few_files(spark):
+    """Only the nodes and the verified links, which are costly to make, keep the partitions of their shuffles."""
+    texts = [(k, " ".join(f"w{k // 3}x{j}" for j in range(30)) + (f" tail{k}" if k % 3 else "")) for k in range(60)]
+    held = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    folder = Path(common.shared_folder(spark).removeprefix("file:"))
+    old = set(folder.iterdir())
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(texts, "doc_id int, text string").repartition(48)
+        got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k: k - k % 3 for k in range(60)}
+    files = [len(list(f.glob("part-*"))) for f in set(folder.iterdir()) - old if f.name.startswith("rdd-")]
+    assert len(files) > 5 and sum(n > common.PARTS * spark.sparkContext.defaultParallelism for n in files) <= 2
+
+
 def test_near_duplicates_that_differ_in_repeats(spark):
     of_word, rows = neardup.WordHash(), []
     for k in range(12):
