@@ -80,7 +80,7 @@ def test_points_of_a_place_go_along_with_it(spark, tmp_path, agrees, monkeypatch
     assert "explode(points" in plan and plan.count("Join ") == 1
 
 
-@pytest.mark.parametrize("name", ["j16_deck_level"])
+@pytest.mark.parametrize("name", ["j4_point_in_polygon", "j16_deck_level"])
 def test_listed_polygons_are_not_broadcast(spark, tmp_path, name):
     """However small the table is, its listing by cells isn't sent to the driver."""
     con = duckdb.connect()
